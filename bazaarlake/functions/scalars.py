@@ -94,16 +94,15 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     return F.lit(2 * 6371.0) * F.asin(F.sqrt(F.least(inner, F.lit(1.0))))
 
 
-def lookup(mapping: dict, key: Column, kind: str) -> Column:
-    """Literal map lookup: a small fixed table without a join. NULL for an unknown key."""
-    entries = [F.lit(x) for pair in mapping.items() for x in pair]
-    return F.try_element_at(F.create_map(*entries), F.coalesce(key, F.lit(""))).cast(kind)
+def lookup(mapping: dict[str, float], key: Column) -> Column:
+    """Number for a word from a small fixed table, as a literal map without a join. NULL for an unknown word."""
+    entries = ", ".join(f"'{word}', {float(number)}D" for word, number in mapping.items())
+    return F.try_element_at(F.expr(f"map({entries})"), F.coalesce(key, F.lit("")))
 
 
 def country_distance_km(country_a: Column, country_b: Column) -> Column:
     lat = {k: v[0] for k, v in C.CENTROIDS.items()}
     lon = {k: v[1] for k, v in C.CENTROIDS.items()}
     return haversine_km(
-        lookup(lat, country_a, "double"), lookup(lon, country_a, "double"),
-        lookup(lat, country_b, "double"), lookup(lon, country_b, "double"),
+        lookup(lat, country_a), lookup(lon, country_a), lookup(lat, country_b), lookup(lon, country_b),
     )

@@ -82,12 +82,13 @@ def rules(enriched: DataFrame, **options) -> DataFrame:
     """(transaction_id, rule, score), one row per rule that fires.
 
     Row rules are one pass: an array of the rules that hold, exploded. Only card testing needs an aggregate.
+    `hot=[]` tells that no user is heavy, hence no user-address-device actor either.
     """
     bursts = add_burst(enriched, **options)
     hits = F.array_compact(F.array(*[F.when(c, F.lit(name)) for name, c in conditions().items()]))
     row_rules = bursts.select("transaction_id", F.explode(hits).alias("rule"))
     tested = card_testing(enriched).withColumn("rule", F.lit("card_testing"))
-    return row_rules.unionByName(tested).withColumn("score", S.lookup(RULE_WEIGHTS, F.col("rule"), "double"))
+    return row_rules.unionByName(tested).withColumn("score", S.lookup(RULE_WEIGHTS, F.col("rule")))
 
 
 def rule_scores(hits: DataFrame) -> DataFrame:

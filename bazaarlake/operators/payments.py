@@ -14,7 +14,7 @@ from bazaarlake.functions.timeline import trailing
 
 DAY = 86_400
 MONTH = 30 * DAY
-INGEST_COLUMNS = ["kafka_topic", "kafka_key", "year", "month", "day", "timestamp"]
+INGEST_COLUMNS = ["kafka_topic", "kafka_key", "kafka_partition", "kafka_offset", "year", "month", "day", "timestamp"]
 
 
 def clean(df: DataFrame) -> DataFrame:
@@ -29,10 +29,9 @@ def clean(df: DataFrame) -> DataFrame:
         "shipping_country_iso": F.upper(F.trim("shipping_country")),
         "ip_country_code": F.upper(F.trim("ip_country_inferred")),
     })
-    hour = F.hour("event_timestamp")
-    return typed.withColumns({
+    hour = F.col("event_hour")
+    return typed.withColumn("event_hour", F.hour("event_timestamp")).withColumns({
         "event_date": F.to_date("event_timestamp"),
-        "event_hour": hour,
         "event_day_of_week": F.dayofweek("event_timestamp"),
         "time_of_day": F.when(hour.isNotNull(), S.time_of_day(hour)),
         "is_cross_border": F.col("billing_country_iso") != F.col("shipping_country_iso"),
@@ -44,7 +43,10 @@ def clean(df: DataFrame) -> DataFrame:
 
 
 def latest(df: DataFrame) -> DataFrame:
-    """The last delivered version of each transaction. Rows without an id cannot be versions of anything."""
+    """The last delivered version of each transaction. Rows without an id cannot be versions of anything.
+
+    Run it on the raw rows, before `clean`: old versions are then never parsed.
+    """
     order = [F.col(c).desc() for c in ("ingested_at", "kafka_partition", "kafka_offset") if c in df.columns]
     return dedup_latest(df.filter(F.col("transaction_id").isNotNull()), ["transaction_id"], order)
 
@@ -179,7 +181,7 @@ def curated(df: DataFrame, loaded_at) -> DataFrame:
 
 
 def build(bronze: DataFrame, loaded_at, **options) -> DataFrame:
-    valid, _ = split(latest(clean(bronze)))
+    valid, _ = split(clean(latest(bronze)))
     return curated(enrich(valid, **options), loaded_at)
 
 

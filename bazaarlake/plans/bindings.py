@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bazaarlake import constants as C
 from bazaarlake import schemas
@@ -44,13 +45,26 @@ REASONS = [
 VIEW_PAGES = ["product_detail", "category_listing", "homepage"]
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A test table. Its schema is read from the files once per process; further reads start no job."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def pick(values: list, index: Column) -> Column:
-    """The value at a zero-based index."""
-    return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
+    """The value at a zero-based index of a list of plain words."""
+    words = ", ".join("NULL" if v is None else f"'{v}'" for v in values)
+    return F.get(F.expr(f"array({words})"), index.cast("int"))
+
+
+def segment_index() -> Column:
+    words = ", ".join(f"'{k}'" for k in KYC_BY_SEGMENT)
+    return F.expr(f"array_position(array({words}), c_mktsegment) - 1")
 
 
 def padded(prefix: str, number: Column, width: int) -> Column:
@@ -73,8 +87,10 @@ def _order_lines(spark: SparkSession, sf: str) -> DataFrame:
     lines, orders = table(spark, sf, "lineitem"), table(spark, sf, "orders")
     customers, suppliers = table(spark, sf, "customer"), table(spark, sf, "supplier")
     parts = table(spark, sf, "part").select("p_partkey", "p_type")
+    # Orders grow with their lines, so they are never a side to broadcast.
+    orders = orders.select("o_orderkey", "o_custkey", "o_orderdate").hint("merge")
     return (
-        lines.join(orders.select("o_orderkey", "o_custkey", "o_orderdate"), F.expr("l_orderkey = o_orderkey"))
+        lines.join(orders, F.expr("l_orderkey = o_orderkey"))
         .join(customers.select("c_custkey", "c_nationkey", "c_mktsegment"), F.expr("o_custkey = c_custkey"))
         .join(suppliers.select("s_suppkey", "s_nationkey"), F.expr("l_suppkey = s_suppkey"))
         .join(parts, F.expr("l_partkey = p_partkey"))
@@ -124,8 +140,7 @@ def payments(spark: SparkSession, sf: str) -> DataFrame:
         F.concat_ws("-", F.lit("dev"), F.col("o_custkey") % 1000, F.col("o_orderkey") % 3).alias("device_fingerprint"),
         (F.col("l_tax") >= 0.06).alias("is_new_device"),
         (F.col("l_discount") >= 0.05).alias("is_new_merchant"),
-        pick(list(KYC_BY_SEGMENT.values()), F.array_position(
-            F.array(*[F.lit(k) for k in KYC_BY_SEGMENT]), F.col("c_mktsegment")) - 1).alias("user_kyc_status"),
+        pick(list(KYC_BY_SEGMENT.values()), segment_index()).alias("user_kyc_status"),
         (F.col("c_custkey") % 70 + 10).cast("int").alias("user_age"),
         F.when(F.col("l_partkey") % 211 == 0, "not-a-date").otherwise(iso_text(F.col("_at"))).alias("timestamp"),
         padded("MERCH-", F.col("l_suppkey"), 4).alias("merchant_id"),
@@ -195,7 +210,7 @@ def crm(spark: SparkSession, sf: str) -> DataFrame:
     """Customer file rows, with the direct identifiers that the privacy job removes."""
     key = F.col("c_custkey")
     registered = F.date_add(F.lit("2020-01-01").cast("date"), (key % 1000).cast("int"))
-    by_segment = F.array_position(F.array(*[F.lit(k) for k in KYC_BY_SEGMENT]), F.col("c_mktsegment")) - 1
+    by_segment = segment_index()
     phone = F.concat(F.lit("+336"), F.lpad((key * 7919 % 100_000_000).cast("string"), 8, "0"))
     email = F.concat(F.lit(" Client."), key, F.lit("@Example.COM "))
     return table(spark, sf, "customer").select(

@@ -12,10 +12,11 @@ from pyspark.sql import types as T
 from bazaarlake.functions import scalars as S
 from bazaarlake.functions import timeline
 from bazaarlake.functions.ranking import add_ntiles, dedup_latest
+from bazaarlake.functions.skew import hot_keys
 from bazaarlake.operators import bi, crm, fraud, funnel, gold, kyc, logistics, ml, privacy, quality, sessions, tables
 from bazaarlake.operators import payments as P
 from bazaarlake.plans import bindings as B
-from bazaarlake.session import checkpointed
+from bazaarlake.session import RUNTIME, checkpointed
 from bazaarlake.sources import readers
 from bazaarlake.sources.bronze import parse_json
 from bazaarlake import schemas
@@ -36,7 +37,8 @@ def comparable(df: DataFrame) -> DataFrame:
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        for name, value in RUNTIME.items():
+            spark.conf.set(name, value)
         return comparable(function(spark, sf))
 
     QUERIES[function.__name__] = run
@@ -46,7 +48,7 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 # Shared steps.
 
 def clean(spark, sf):
-    return P.latest(P.clean(B.payments(spark, sf)))
+    return P.clean(P.latest(B.payments(spark, sf)))
 
 
 def valid(spark, sf):
@@ -92,11 +94,23 @@ def facts(spark, sf, statuses=("success",)):
                             gold.dim_date_of(days), statuses)
 
 
+def enriched_payments(spark, sf):
+    """Payments with features, and the heavy users; without any, no later step searches again."""
+    rows = valid(spark, sf)
+    heavy = hot_keys(rows.select("user_id"), "user_id")
+    return P.enrich(rows, hot=heavy), heavy
+
+
+def rule_hits(spark, sf):
+    enriched, heavy = enriched_payments(spark, sf)
+    return enriched, fraud.rules(enriched, hot=None if heavy else [])
+
+
 def scores(spark, sf):
-    enriched = P.enrich(valid(spark, sf))
+    enriched, hits = rule_hits(spark, sf)
     placed = enriched.withColumn("geo_distance_km", S.round_to(S.country_distance_km(
         F.col("ip_country_code"), F.col("shipping_country_iso")), 1))
-    return fraud.fact_fraud_scores(placed, fraud.rule_scores(fraud.rules(enriched)))
+    return fraud.fact_fraud_scores(placed, fraud.rule_scores(hits))
 
 
 # Sources.
@@ -466,12 +480,12 @@ def dq_freshness(spark, sf):
 
 @query
 def fraud_rules(spark, sf):
-    return fraud.rules(P.enrich(valid(spark, sf)))
+    return rule_hits(spark, sf)[1]
 
 
 @query
 def rule_score(spark, sf):
-    return fraud.rule_scores(fraud.rules(P.enrich(valid(spark, sf))))
+    return fraud.rule_scores(rule_hits(spark, sf)[1])
 
 
 @query

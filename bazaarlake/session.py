@@ -6,13 +6,20 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-SETTINGS = {
+# Settings that a query may also apply to a running session.
+RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
+    # A generated method above 8000 bytes of code is never compiled by the JVM: let Spark use smaller pieces instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+SETTINGS = {
+    **RUNTIME,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
