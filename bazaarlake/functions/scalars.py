@@ -91,7 +91,8 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     half_lat = F.sin((F.radians(lat2) - F.radians(lat1)) / 2)
     half_lon = F.sin((F.radians(lon2) - F.radians(lon1)) / 2)
     inner = half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
-    return F.lit(2 * 6371.0) * F.asin(F.sqrt(F.least(inner, F.lit(1.0))))
+    # Rounding may push the value just above 1; `least` would also turn an unknown place into a distance.
+    return F.lit(2 * 6371.0) * F.asin(F.sqrt(F.when(inner > 1.0, 1.0).otherwise(inner)))
 
 
 def lookup(mapping: dict[str, float], key: Column) -> Column:

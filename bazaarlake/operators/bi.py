@@ -81,8 +81,8 @@ def decision_mix(scores: DataFrame) -> DataFrame:
 
 def score_histogram(scores: DataFrame) -> DataFrame:
     """Bins of 0.1; a probability of 1 belongs to the last bin."""
-    tenth = F.least(F.floor(S.round_to(F.col("fraud_probability") * 10, 6)), F.lit(9))
-    return scores.groupBy((tenth / 10.0).cast("double").alias("bin")).agg(F.count(F.lit(1)).alias("payments"))
+    tenth = F.floor(S.round_to(F.col("fraud_probability") * 10, 6))
+    return scores.groupBy((F.when(tenth > 9, 9).otherwise(tenth) / 10.0).cast("double").alias("bin")).agg(F.count(F.lit(1)).alias("payments"))
 
 
 def blocked_trend(scores: DataFrame) -> DataFrame:

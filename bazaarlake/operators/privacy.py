@@ -15,14 +15,19 @@ IBAN = r"\b([A-Z]{2}[0-9]{2}[A-Z0-9]{1,20})[A-Z0-9]{10}\b"
 CARD = r"\b[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}\b"
 IPV4 = r"\b[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\b"
 PHONE = r"(\+|\b0)[0-9]{1,3}[ .-]?[0-9]{1,4}([ .-]?[0-9]{2,4}){2,4}\b"
+# What a text must hold before a number pattern can match: a cheap scan that spares most texts the full patterns.
+NUMBER_HINT = r"[0-9]{2}|[0-9]\.[0-9]"
 MASKS = [(EMAIL, C.MASK_EMAIL), (IBAN, "$1**********"), (CARD, C.MASK_CARD), (IPV4, C.MASK_IP), (PHONE, C.MASK_PHONE)]
 
 
 def mask_text(text: Column) -> Column:
     """Mask e-mail, IBAN (last ten characters), card, IPv4 and phone over the whole text, in this order."""
-    for pattern, replacement in MASKS:
-        text = F.regexp_replace(text, pattern, replacement)
-    return text
+    (mail, mail_mask), *numbers = MASKS
+    text = F.when(text.contains("@"), F.regexp_replace(text, mail, mail_mask)).otherwise(text)
+    masked = text
+    for pattern, replacement in numbers:
+        masked = F.regexp_replace(masked, pattern, replacement)
+    return F.when(text.rlike(NUMBER_HINT), masked).otherwise(text)
 
 
 def pseudonymise(df: DataFrame, salt: str, as_of, version: str = "native-1") -> DataFrame:

@@ -95,10 +95,13 @@ def facts(spark, sf, statuses=("success",)):
 
 
 def enriched_payments(spark, sf):
-    """Payments with features, and the heavy users; without any, no later step searches again."""
+    """Payments with features, and the heavy users; without any, no later step searches again.
+
+    Rules, scores and reports all read the rows, so they are stored once instead of computed per reader.
+    """
     rows = valid(spark, sf)
     heavy = hot_keys(rows.select("user_id"), "user_id")
-    return P.enrich(rows, hot=heavy), heavy
+    return checkpointed(P.enrich(rows, hot=heavy)), heavy
 
 
 def rule_hits(spark, sf):

@@ -47,8 +47,10 @@ def run_clickstream(spark: SparkSession, registry: Registry, run_date: str) -> N
 
 def run_sessions(spark: SparkSession, registry: Registry, as_of: str, lookback_days: int = 3,
                  full_refresh: bool = False) -> None:
+    """Sessions with recent events, rebuilt whole; everything on the first run or on request."""
     bronze = registry.read(spark, "bronze.clickstream")
-    scope = bronze if full_refresh else sessions.touched_sessions(bronze, as_of, lookback_days)
+    first_run = not tables.exists(spark, registry.path("silver.sessions"))
+    scope = bronze if full_refresh or first_run else sessions.touched_sessions(bronze, as_of, lookback_days)
     tables.upsert(spark, sessions.build(scope, as_of), registry.path("silver.sessions"), ["session_id"],
                   "session_date", ["session_id"])
 

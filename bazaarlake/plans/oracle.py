@@ -46,8 +46,9 @@ def lon(c: str) -> str:
 
 
 A, Z = "ip_country_code", "shipping_country_iso"
-KM = rounded(f"""2 * 6371.0 * asin(sqrt(least(1.0, pow(sin((({lat(Z)}) - ({lat(A)})) / 2), 2)
-  + cos({lat(A)}) * cos({lat(Z)}) * pow(sin((({lon(Z)}) - ({lon(A)})) / 2), 2))))""", 1)
+INNER = f"""(pow(sin((({lat(Z)}) - ({lat(A)})) / 2), 2)
+  + cos({lat(A)}) * cos({lat(Z)}) * pow(sin((({lon(Z)}) - ({lon(A)})) / 2), 2))"""
+KM = rounded(f"2 * 6371.0 * asin(sqrt(CASE WHEN {INNER} > 1 THEN 1 ELSE {INNER} END))", 1)
 
 DISTINCT = """count(DISTINCT shipping_country_iso) OVER w AS user_distinct_countries_30d,
   count(DISTINCT merchant_id) OVER w AS user_distinct_merchants_30d"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_KINDS = {
+KINDS = {
     "string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(),
     "boolean": T.BooleanType(), "date": T.DateType(), "timestamp": T.TimestampType(), "binary": T.BinaryType(),
 }
@@ -13,7 +13,7 @@ _KINDS = {
 def _fields(text: str) -> T.StructType:
     """A nullable schema from 'name type, ...'; unlike a DDL string it needs no running session."""
     pairs = [part.split() for part in text.split(",")]
-    return T.StructType([T.StructField(name, _KINDS[kind], True) for name, kind in pairs])
+    return T.StructType([T.StructField(name, KINDS[kind], True) for name, kind in pairs])
 
 
 # Field names and types of the three streams and the customer file.

@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bazaarlake import constants as C
 from bazaarlake import schemas
@@ -62,11 +63,8 @@ def is_ready(df: DataFrame, run_date: str | date) -> bool:
 
 def read_crm(spark: SparkSession, base: str, ingested_at=None, **extra: str) -> DataFrame:
     """The daily customer CSV under year=/month=/day= folders, by a fixed schema. `extra` adds text columns."""
-    schema = schemas.CRM
-    for name, kind in extra.items():
-        schema = schema.add(name, kind)
-    for part in ("year", "month", "day"):
-        schema = schema.add(part, "int")
+    added = {**extra, "year": "int", "month": "int", "day": "int"}
+    schema = T.StructType(schemas.CRM.fields + [T.StructField(n, schemas.KINDS[k]) for n, k in added.items()])
     at = F.current_timestamp() if ingested_at is None else S.as_timestamp(ingested_at)
     return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(base).withColumn(
         "ingested_at", at)
