@@ -173,3 +173,26 @@ def gap_sessions(df: DataFrame, key: str, order: str, gap: int, chunk: int | Non
 def gap_sessions_chunked(df: DataFrame, key: str, order: str, gap: int, chunk: int | None = None) -> DataFrame:
     """`gap_sessions` with every key on the heavy route."""
     return _sessions_chunked(df, key, order, gap, chunk or 48 * gap)
+
+
+def previous(df: DataFrame, key: str, order: str, tie: str, value: str, name: str, chunk: int,
+             min_rows: int = HOT_ROWS, small_bytes: int = SMALL_INPUT_BYTES, hot: list | None = None) -> DataFrame:
+    """Add `value` of the row before in (`order`, `tie`) within `key`.
+
+    On the heavy route a row looks back inside its time chunk, and the first row of a chunk takes the last value of
+    the chunk before.
+    """
+    def plain(frame: DataFrame, *parts: str) -> DataFrame:
+        return frame.withColumn(name, F.lag(value).over(Window.partitionBy(key, *parts).orderBy(order, tie)))
+
+    keys = hot_keys(df.select(key), key, min_rows, small_bytes) if hot is None else hot
+    if not keys:
+        return plain(df)
+    rows = _chunked(df.filter(is_hot(key, keys)), order, chunk)
+    at = F.struct(order, tie)
+    lasts = rows.groupBy(key, "_chunk").agg(F.max_by(F.struct(value), at).alias("_last"), F.min(at).alias("_first"))
+    across = Window.partitionBy(key).orderBy("_chunk")
+    lasts = lasts.select(key, "_chunk", "_first", F.lag("_last").over(across)[value].alias("_carried"))
+    heavy = plain(rows, "_chunk").join(lasts, [key, "_chunk"])
+    heavy = heavy.withColumn(name, F.when(F.col("_first") == at, F.col("_carried")).otherwise(F.col(name)))
+    return plain(df.filter(~is_hot(key, keys))).unionByName(heavy.drop("_chunk", "_first", "_carried"))

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake import constants as C
 from bazaarlake.functions import scalars as S
-
-_LATEST = F.struct
+from bazaarlake.functions.timeline import previous
 
 
 def clean(df: DataFrame) -> DataFrame:
@@ -67,17 +66,17 @@ def step_no(status: Column) -> Column:
     return F.nullif(F.array_position(F.array(*[F.lit(s) for s in C.STATUS_FLOW]), status), F.lit(0))
 
 
-def transitions(parcels: DataFrame) -> DataFrame:
+def transitions(parcels: DataFrame, **options) -> DataFrame:
     """Each event with the order's previous status and whether the step is legal.
 
     Legal: the first event, a step forward or a repeat along the flow, or any step from or to an exception. An
-    order has few events, so its rows fit one task.
+    order id that holds very many events (a placeholder, say) is split by day.
     """
-    ordered = Window.partitionBy("order_id").orderBy("event_timestamp", "event_id")
-    before = F.lag("status").over(ordered)
-    out = parcels.select("event_id", "order_id", "event_timestamp", "status", before.alias("came_from"))
+    rows = parcels.select("event_id", "order_id", "event_timestamp", "status").withColumn(
+        "_micros", F.unix_micros("event_timestamp"))
+    out = previous(rows, "order_id", "_micros", "event_id", "status", "came_from", 86_400_000_000, **options)
     now, was = step_no(F.col("status")), step_no(F.col("came_from"))
-    return out.withColumn("is_legal", F.coalesce(now >= was, F.lit(True)))
+    return out.drop("_micros").withColumn("is_legal", F.coalesce(now >= was, F.lit(True)))
 
 
 def delivery_sla(parcels: DataFrame) -> DataFrame:

@@ -133,8 +133,9 @@ def first_transaction(df: DataFrame, min_rows: int = HOT_ROWS, small_bytes: int
     key = F.struct("event_timestamp", "transaction_id")
 
     def plain(frame: DataFrame) -> DataFrame:
-        order = Window.partitionBy("user_id").orderBy("event_timestamp", "transaction_id")
-        return frame.withColumn("is_first_transaction", F.row_number().over(order) == 1)
+        # No order: the window runs on the rows as the earlier windows left them, without another sort.
+        first = F.min(key).over(Window.partitionBy("user_id"))
+        return frame.withColumn("is_first_transaction", first["transaction_id"] == F.col("transaction_id"))
 
     keys = hot_keys(df.select("user_id"), "user_id", min_rows, small_bytes) if hot is None else hot
     if not keys:
@@ -185,39 +186,22 @@ def build(bronze: DataFrame, loaded_at, **options) -> DataFrame:
     return curated(enrich(valid, **options), loaded_at)
 
 
-def affected_history(history: DataFrame, new: DataFrame) -> DataFrame:
-    """Rows needed to recompute features touched by `new`.
-
-    A payment at t changes the features of the same user's payments in [t, t + 30 days], which in turn read the 30
-    days before them. Only users with new rows are read, from 30 days before their first new payment, plus each of
-    those users' first payment of all time for the first-payment flag.
-    """
-    starts = new.groupBy("user_id").agg(F.min("event_timestamp").alias("_from"))
-    touched = history.join(starts, "user_id")
-    recent = touched.filter(F.col("event_timestamp") >= F.col("_from") - F.expr("INTERVAL 30 DAYS"))
-    seen_before = (
-        touched.filter(F.col("event_timestamp") < F.col("_from") - F.expr("INTERVAL 30 DAYS"))
-        .groupBy("user_id").agg(F.lit(True).alias("_seen_before"))
-    )
-    return recent.drop("_from").join(seen_before, "user_id", "left")
-
-
 def refresh(history: DataFrame, new: DataFrame, **options) -> DataFrame:
     """Features of the new payments and of the older ones that they change: equal to a full rebuild on those rows.
 
-    Both inputs are valid, deduplicated payments without features; the result is an upsert set by transaction_id.
+    A payment at t changes the features of the same user's payments in [t, t + 30 days], which in turn read the 30
+    days before them. So only users with new rows are read, from 30 days before their first new payment; of what is
+    older only its existence matters, for the first-payment flag. Both inputs are valid, deduplicated payments
+    without features; the result is an upsert set by transaction_id.
     """
-    older = history.join(new.select("transaction_id"), "transaction_id", "left_anti")
-    scope = affected_history(older, new)
-    fresh = new.join(
-        older.join(new.groupBy("user_id").agg(F.min("event_timestamp").alias("_from")), "user_id")
-        .filter(F.col("event_timestamp") < F.col("_from") - F.expr("INTERVAL 30 DAYS"))
-        .groupBy("user_id").agg(F.lit(True).alias("_seen_before")), "user_id", "left")
-    featured = enrich(scope.unionByName(fresh, allowMissingColumns=True), **options)
     starts = new.groupBy("user_id").agg(F.min("event_timestamp").alias("_from"))
+    touched = history.join(starts, "user_id").join(new.select("transaction_id"), "transaction_id", "left_anti")
+    reach = F.col("event_timestamp") >= F.col("_from") - F.expr("INTERVAL 30 DAYS")
+    featured = enrich(touched.filter(reach).drop("_from").unionByName(new, allowMissingColumns=True), **options)
+    seen = touched.filter(~reach).groupBy("user_id").agg(F.lit(True).alias("_seen_before"))
+    marks = starts.join(seen, "user_id", "left")
     return (
-        featured.join(starts, "user_id").filter(F.col("event_timestamp") >= F.col("_from"))
-        .withColumn("is_first_transaction",
-                    F.col("is_first_transaction") & F.col("_seen_before").isNull())
+        featured.join(marks, "user_id").filter(F.col("event_timestamp") >= F.col("_from"))
+        .withColumn("is_first_transaction", F.col("is_first_transaction") & F.col("_seen_before").isNull())
         .drop("_from", "_seen_before")
     )

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake import constants as C
 from bazaarlake import schemas
 from bazaarlake.functions import scalars as S
 from bazaarlake.functions.ranking import dedup_latest
-from bazaarlake.functions.timeline import gap_sessions
+from bazaarlake.functions.timeline import gap_sessions, previous
 
 
 def exact_device(device: Column) -> Column:
@@ -192,7 +192,8 @@ def sessionise(events: DataFrame, key: str, at: str, gap_seconds: int, route=gap
     ).drop("session_open")
 
 
-def previous_event_gap(events: DataFrame, key: str, at: str) -> DataFrame:
-    """Seconds since the key's previous event (`lag`); for sessions and pauses on keys of ordinary size."""
-    ordered = Window.partitionBy(key).orderBy(at)
-    return events.withColumn("gap_seconds", F.unix_timestamp(at) - F.unix_timestamp(F.lag(at).over(ordered)))
+def previous_event_gap(events: DataFrame, key: str, at: str, tie: str, **options) -> DataFrame:
+    """Seconds since the key's previous event."""
+    timed = events.withColumn("_micros", F.unix_micros(at))
+    out = previous(timed, key, "_micros", tie, at, "_before", 86_400_000_000, **options)
+    return out.withColumn("gap_seconds", F.unix_timestamp(at) - F.unix_timestamp("_before")).drop("_micros", "_before")

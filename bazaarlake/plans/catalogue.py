@@ -288,7 +288,7 @@ def session_gap_30m_chunked(spark, sf):
 @query
 def event_gaps(spark, sf):
     rows = B.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    return sessions.previous_event_gap(rows, "user_id", "ts").select("event_id", "gap_seconds")
+    return sessions.previous_event_gap(rows, "user_id", "ts", "event_id").select("event_id", "gap_seconds")
 
 
 @query

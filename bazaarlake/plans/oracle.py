@@ -143,7 +143,7 @@ numbered AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts) AS ses
 SELECT user_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS total_events
 FROM numbered GROUP BY user_id, session_no"""
 ORACLES["event_gaps"] = """SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT)
-  - CAST(floor(epoch(lag(ts) OVER (PARTITION BY user_id ORDER BY ts))) AS BIGINT) AS gap_seconds FROM events"""
+  - CAST(floor(epoch(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id))) AS BIGINT) AS gap_seconds FROM events"""
 ORACLES["clickstream_clean"] = f"""WITH {O.CLICKSTREAM}
 SELECT event_id, event_timestamp, event_date, duration_seconds, scroll_depth_pct,
   CASE WHEN device_type LIKE 'mobile%' THEN 'mobile' WHEN device_type LIKE 'tablet%' THEN 'tablet' ELSE 'desktop' END

@@ -100,9 +100,9 @@ def newer_than_target(source: DataFrame, target: DataFrame | None, column: str,
 
 
 def newer_rows(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
-    """`newer_than_target` as one lazy plan: the one-row maximum is attached to every row."""
-    newest = target.agg(F.coalesce(F.max(column), F.lit("1970-01-01").cast("timestamp")).alias("_newest"))
-    return source.join(newest, F.col(column) > F.col("_newest")).drop("_newest")
+    """`newer_than_target` as one lazy plan: the maximum is a scalar subquery, not a join."""
+    newest = target.agg(F.coalesce(F.max(column), F.lit("1970-01-01").cast("timestamp"))).scalar()
+    return source.filter(F.col(column) > newest)
 
 
 def lookback(df: DataFrame, column: str, as_of, days: int = 3, full_refresh: bool = False) -> DataFrame:

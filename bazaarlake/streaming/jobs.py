@@ -73,36 +73,46 @@ _VELOCITY_STATE = T.StructType([T.StructField("times", T.ArrayType(T.LongType())
 
 
 def exact_velocity(events: DataFrame, key: str, at: str, id_column: str, seconds: int = 300,
-                   watermark: str = "10 minutes") -> DataFrame:
+                   watermark: str = "10 minutes", bucket_seconds: int = 86_400) -> DataFrame:
     """Each event with the number of events of its key in the last `seconds`, itself included.
 
-    The state of a key is the event times that a later event may still count: those within `seconds` of the
-    watermark. Within a micro-batch all events of the key are seen before counting, so their order does not matter;
-    an event that comes in a later batch than its successors does not change what was already emitted.
+    State is keyed by (key, time bucket), so a replay spreads a heavy key over as many tasks as it has buckets. An
+    event near the end of its bucket is also history of the next one. A state holds the times that a later event
+    may still count, those within `seconds` of the watermark, and ends with its bucket. Within a micro-batch all
+    events are seen before counting, so their order does not matter; an event that comes in a later batch than its
+    successors does not change what was already emitted.
     """
-    width = seconds * 1_000_000
+    width, length = seconds * 1_000_000, bucket_seconds * 1_000_000
+    if length < width:
+        raise ValueError("a bucket must be at least as long as the counted period")
     out = T.StructType([T.StructField(key, events.schema[key].dataType), T.StructField(id_column, events.schema[
         id_column].dataType), T.StructField("velocity", T.LongType())])
 
     def count(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        kept = np.array(state.get[0] if state.exists else [], dtype="int64")
         if state.hasTimedOut:
             state.remove()
             return
+        kept = np.array(state.get[0] if state.exists else [], dtype="int64")
         rows = pd.concat(list(batches), ignore_index=True)
-        fresh = rows["_micros"].to_numpy(dtype="int64")
-        times = np.sort(np.concatenate([kept, fresh]))
-        inside = np.searchsorted(times, fresh, "right") - np.searchsorted(times, fresh - width, "left")
-        floor = state.getCurrentWatermarkMs() * 1_000 - width
-        live = times[times >= floor]
-        state.update((live.tolist(),))
-        expiry = max(int(live[-1]) if len(live) else 0, int(fresh.max())) // 1_000 + width // 1_000 + 1
-        if expiry > state.getCurrentWatermarkMs():
-            state.setTimeoutTimestamp(expiry)
-        yield pd.DataFrame({key: group[0], id_column: rows[id_column], "velocity": inside.astype("int64")})
+        times = np.sort(np.concatenate([kept, rows["_micros"].to_numpy(dtype="int64")]))
+        own = rows[rows["_own"]]
+        at = own["_micros"].to_numpy(dtype="int64")
+        inside = np.searchsorted(times, at, "right") - np.searchsorted(times, at - width, "left")
+        end_ms, seen_ms = (int(group[1]) + 1) * length // 1_000, state.getCurrentWatermarkMs()
+        if end_ms > seen_ms:
+            state.update((times[times >= seen_ms * 1_000 - width].tolist(),))
+            state.setTimeoutTimestamp(end_ms)
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame({key: group[0], id_column: own[id_column], "velocity": inside.astype("int64")})
 
     timed = events.withWatermark(at, watermark).withColumn("_micros", F.unix_micros(at))
-    return timed.select(key, at, id_column, "_micros").groupBy(key).applyInPandasWithState(
+    bucket = F.floor(F.col("_micros") / F.lit(length))
+    carried = (bucket + 1) * F.lit(length) - F.col("_micros") <= width
+    copies = F.inline(F.array_compact(F.array(
+        F.struct(bucket.alias("_bucket"), F.lit(True).alias("_own")),
+        F.when(carried, F.struct((bucket + 1).alias("_bucket"), F.lit(False).alias("_own"))))))
+    return timed.select(key, at, id_column, "_micros", copies).groupBy(key, "_bucket").applyInPandasWithState(
         count, out, _VELOCITY_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 

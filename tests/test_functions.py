@@ -120,3 +120,17 @@ def test_surrogate_key_is_stable(spark):
     import hashlib
     got = spark.createDataFrame([("a", None)], "x string, y int").select(S.surrogate_key("x", "y")).first()[0]
     assert got == hashlib.md5(b"a-_null_").hexdigest()
+
+
+@pytest.mark.parametrize("chunk", [5, 40, 1000])
+def test_previous_value_same_on_both_routes(spark, rows, chunk):
+    df = spark.createDataFrame(make_events(4, 150, 3, 400), "id int, u int, t bigint, v int, c string")
+    want = rows(timeline.previous(df, "u", "t", "id", "c", "p", chunk, hot=[]), "id", "p")
+    assert rows(timeline.previous(df, "u", "t", "id", "c", "p", chunk, hot=[0, 2]), "id", "p") == want
+
+
+def test_no_cross_join_for_incremental_reads(spark, plan):
+    from bazaarlake.sources import readers
+    df = spark.range(10).select(F.timestamp_seconds("id").alias("at"))
+    text = plan(readers.newer_rows(df, df.filter(F.col("at") < F.timestamp_seconds(F.lit(5))), "at"))
+    assert "Cartesian" not in text and "NestedLoop" not in text

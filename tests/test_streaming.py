@@ -34,7 +34,7 @@ def test_exact_velocity_across_batches_and_restart(spark, tmp_path, rows):
     times = [0, 100, 100, 301, 400, 401, 1500]
     for i, t in enumerate(times[:4]):
         write(spark, path, [(f"e{i}", "a", t), (f"x{i}", "b", t)], DDL)
-    df = jobs.exact_velocity(stream(spark, path, DDL), "k", "at", "id")
+    df = jobs.exact_velocity(stream(spark, path, DDL), "k", "at", "id", bucket_seconds=400)
     drain(spark, df, tmp_path)
     for i, t in enumerate(times[4:], 4):
         write(spark, path, [(f"e{i}", "a", t)], DDL)
