@@ -8,12 +8,17 @@ heavy, the work is already spread over that many tasks.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bazaarlake.session import checkpointed
+
 SMALL_INPUT_BYTES = 256 * 1024 * 1024
 HOT_ROWS = 2_000_000
 MAX_HOT_KEYS = 1_000
+ALL = "all"
 
 
 def plan_bytes(df: DataFrame) -> int | None:
@@ -56,3 +61,20 @@ def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS, small_bytes: int
 
 def is_hot(key: str, keys: list) -> Column:
     return F.coalesce(F.col(key).isin(keys), F.lit(False))
+
+
+def routed(df: DataFrame, key: str, plain: Callable[[DataFrame], DataFrame],
+           heavy: Callable[[DataFrame], DataFrame], min_rows: int = HOT_ROWS, small_bytes: int = SMALL_INPUT_BYTES,
+           hot: list | str | None = None) -> DataFrame:
+    """Rows of ordinary keys through `plain`, rows of heavy keys through `heavy`.
+
+    `hot` gives the heavy keys, `ALL` sends every row the heavy way, None searches. The heavy route reads its rows
+    several times, so they are checkpointed first.
+    """
+    if hot == ALL:
+        return heavy(checkpointed(df))
+    keys = hot_keys(df.select(key), key, min_rows, small_bytes) if hot is None else hot
+    if not keys:
+        return plain(df)
+    rows = checkpointed(df.filter(is_hot(key, keys)))
+    return plain(df.filter(~is_hot(key, keys))).unionByName(heavy(rows))

@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaarlake.functions.skew import HOT_ROWS, SMALL_INPUT_BYTES, hot_keys, is_hot
+from bazaarlake.functions.skew import routed
 
 _FIRST = Window.unboundedPreceding
 _CUBE = "decimal(38,0)"
@@ -99,13 +99,12 @@ def _sweep(df: DataFrame, key: str, order: str, width: int, values: dict[str, Co
 
 
 def trailing(df: DataFrame, key: str, order: str, width: int, values: dict[str, Column],
-             distinct: dict[str, str] | None = None, chunk: int = 86_400, min_rows: int = HOT_ROWS,
-             small_bytes: int = SMALL_INPUT_BYTES, hot: list | None = None) -> DataFrame:
+             distinct: dict[str, str] | None = None, chunk: int = 86_400, **routing) -> DataFrame:
     """Add exact trailing sums and distinct counts over [order - width, order] within `key`.
 
     `values` maps an output name to a whole-number column to sum (`F.lit(1)` counts); `distinct` maps an output
     name to the column whose different values are counted. `order` is a whole number (seconds or microseconds).
-    `hot` overrides the search for heavy keys.
+    `routing` goes to `skew.routed`.
     """
     distinct = distinct or {}
     window = Window.partitionBy(key).orderBy(order).rangeBetween(-width, 0)
@@ -116,19 +115,7 @@ def trailing(df: DataFrame, key: str, order: str, width: int, values: dict[str,
             **{n: count_distinct_over(F.col(c), window) for n, c in distinct.items()},
         })
 
-    keys = hot_keys(df.select(key), key, min_rows, small_bytes) if hot is None else hot
-    if not keys:
-        return plain(df)
-    heavy = is_hot(key, keys)
-    return plain(df.filter(~heavy)).unionByName(
-        _sweep(df.filter(heavy), key, order, width, values, distinct, chunk)
-    )
-
-
-def trailing_swept(df: DataFrame, key: str, order: str, width: int, values: dict[str, Column],
-                   distinct: dict[str, str] | None = None, chunk: int = 86_400) -> DataFrame:
-    """`trailing` with every key on the heavy route."""
-    return _sweep(df, key, order, width, values, distinct or {}, chunk)
+    return routed(df, key, plain, lambda rows: _sweep(rows, key, order, width, values, distinct, chunk), **routing)
 
 
 def _sessions_plain(df: DataFrame, key: str, order: str, gap: int) -> DataFrame:
@@ -156,43 +143,32 @@ def _sessions_chunked(df: DataFrame, key: str, order: str, gap: int, chunk: int)
     return df.join(state, [key, order])
 
 
-def gap_sessions(df: DataFrame, key: str, order: str, gap: int, chunk: int | None = None,
-                 min_rows: int = HOT_ROWS, small_bytes: int = SMALL_INPUT_BYTES,
-                 hot: list | None = None) -> DataFrame:
+def gap_sessions(df: DataFrame, key: str, order: str, gap: int, chunk: int | None = None, **routing) -> DataFrame:
     """Add `session_open`, the `order` value that opened the row's session; a pause above `gap` opens a new one."""
-    chunk = chunk or 48 * gap
-    keys = hot_keys(df.select(key), key, min_rows, small_bytes) if hot is None else hot
-    if not keys:
-        return _sessions_plain(df, key, order, gap)
-    heavy = is_hot(key, keys)
-    return _sessions_plain(df.filter(~heavy), key, order, gap).unionByName(
-        _sessions_chunked(df.filter(heavy), key, order, gap, chunk)
-    )
-
-
-def gap_sessions_chunked(df: DataFrame, key: str, order: str, gap: int, chunk: int | None = None) -> DataFrame:
-    """`gap_sessions` with every key on the heavy route."""
-    return _sessions_chunked(df, key, order, gap, chunk or 48 * gap)
+    return routed(df, key, lambda rows: _sessions_plain(rows, key, order, gap),
+                  lambda rows: _sessions_chunked(rows, key, order, gap, chunk or 48 * gap), **routing)
 
 
 def previous(df: DataFrame, key: str, order: str, tie: str, value: str, name: str, chunk: int,
-             min_rows: int = HOT_ROWS, small_bytes: int = SMALL_INPUT_BYTES, hot: list | None = None) -> DataFrame:
+             **routing) -> DataFrame:
     """Add `value` of the row before in (`order`, `tie`) within `key`.
 
     On the heavy route a row looks back inside its time chunk, and the first row of a chunk takes the last value of
     the chunk before.
     """
+    at = F.struct(order, tie)
+
     def plain(frame: DataFrame, *parts: str) -> DataFrame:
         return frame.withColumn(name, F.lag(value).over(Window.partitionBy(key, *parts).orderBy(order, tie)))
 
-    keys = hot_keys(df.select(key), key, min_rows, small_bytes) if hot is None else hot
-    if not keys:
-        return plain(df)
-    rows = _chunked(df.filter(is_hot(key, keys)), order, chunk)
-    at = F.struct(order, tie)
-    lasts = rows.groupBy(key, "_chunk").agg(F.max_by(F.struct(value), at).alias("_last"), F.min(at).alias("_first"))
-    across = Window.partitionBy(key).orderBy("_chunk")
-    lasts = lasts.select(key, "_chunk", "_first", F.lag("_last").over(across)[value].alias("_carried"))
-    heavy = plain(rows, "_chunk").join(lasts, [key, "_chunk"])
-    heavy = heavy.withColumn(name, F.when(F.col("_first") == at, F.col("_carried")).otherwise(F.col(name)))
-    return plain(df.filter(~is_hot(key, keys))).unionByName(heavy.drop("_chunk", "_first", "_carried"))
+    def heavy(frame: DataFrame) -> DataFrame:
+        rows = _chunked(frame, order, chunk)
+        ends = rows.groupBy(key, "_chunk").agg(F.max_by(F.struct(value), at).alias("_last"), F.min(at).alias("_first"))
+        across = Window.partitionBy(key).orderBy("_chunk")
+        ends = ends.select(key, "_chunk", "_first", F.lag("_last").over(across)[value].alias("_carried"))
+        joined = plain(rows, "_chunk").join(ends, [key, "_chunk"])
+        return joined.withColumn(
+            name, F.when(F.col("_first") == at, F.col("_carried")).otherwise(F.col(name))
+        ).drop("_chunk", "_first", "_carried")
+
+    return routed(df, key, plain, heavy, **routing)

@@ -9,7 +9,7 @@ from bazaarlake import constants as C
 from bazaarlake import schemas
 from bazaarlake.functions import scalars as S
 from bazaarlake.functions.ranking import dedup_latest
-from bazaarlake.functions.skew import HOT_ROWS, SMALL_INPUT_BYTES, hot_keys, is_hot
+from bazaarlake.functions.skew import ALL, HOT_ROWS, SMALL_INPUT_BYTES, hot_keys, is_hot, routed
 from bazaarlake.functions.timeline import trailing
 
 DAY = 86_400
@@ -91,7 +91,7 @@ def convert(df: DataFrame, rates: DataFrame) -> DataFrame:
     )
 
 
-def trailing_month(df: DataFrame, distinct: dict[str, str] | None = None, route=trailing, **options) -> DataFrame:
+def trailing_month(df: DataFrame, distinct: dict[str, str] | None = None, **routing) -> DataFrame:
     """Count, mean, sample deviation and current-to-mean ratio of `amount_eur` over the last 30 days per user.
 
     Sums run over whole cents, so the result does not depend on the order of additions.
@@ -100,10 +100,10 @@ def trailing_month(df: DataFrame, distinct: dict[str, str] | None = None, route=
     prepared = df.withColumns({
         "_cents": (F.col("amount_eur") * 100).cast("bigint"), "_second": F.unix_timestamp("event_timestamp"),
     })
-    summed = route(
+    summed = trailing(
         prepared, "user_id", "_second", MONTH,
         {"_n": F.lit(1), "_sum": cents, "_squares": cents.cast("decimal(19,0)") * cents.cast("decimal(19,0)")},
-        distinct, **options,
+        distinct, **routing,
     )
     n, total = F.col("_n").cast("double"), F.col("_sum").cast("double")
     spread = (F.col("_n") * F.col("_squares") - F.col("_sum") * F.col("_sum")).cast("double")
@@ -116,19 +116,18 @@ def trailing_month(df: DataFrame, distinct: dict[str, str] | None = None, route=
     }).drop("_n", "_sum", "_squares", "_cents", "_second")
 
 
-def velocity(df: DataFrame, seconds: int, name: str, **options) -> DataFrame:
+def velocity(df: DataFrame, seconds: int, name: str, **routing) -> DataFrame:
     """Payments of the same user in the last `seconds`, the current one included, to the microsecond."""
     prepared = df.withColumn("_micros", F.unix_micros("event_timestamp"))
     counted = trailing(prepared, "user_id", "_micros", seconds * 1_000_000, {name: F.lit(1)},
-                       chunk=DAY * 1_000_000, **options)
+                       chunk=DAY * 1_000_000, **routing)
     return counted.withColumn(name, F.col(name).cast("bigint")).drop("_micros")
 
 
-def first_transaction(df: DataFrame, min_rows: int = HOT_ROWS, small_bytes: int = SMALL_INPUT_BYTES,
-                      hot: list | None = None) -> DataFrame:
+def first_transaction(df: DataFrame, **routing) -> DataFrame:
     """Flag each user's earliest payment of all time; the id breaks ties.
 
-    A heavy user is not sorted: the minimum is found by partial aggregation and compared back on the id.
+    A heavy user is not gathered: the minimum is found by partial aggregation and compared back on the id.
     """
     key = F.struct("event_timestamp", "transaction_id")
 
@@ -137,26 +136,30 @@ def first_transaction(df: DataFrame, min_rows: int = HOT_ROWS, small_bytes: int
         first = F.min(key).over(Window.partitionBy("user_id"))
         return frame.withColumn("is_first_transaction", first["transaction_id"] == F.col("transaction_id"))
 
+    def heavy(frame: DataFrame) -> DataFrame:
+        firsts = frame.groupBy("user_id").agg(F.min(key).alias("_first")).select(
+            F.col("_first.transaction_id").alias("transaction_id"), F.lit(True).alias("is_first_transaction"))
+        return frame.join(firsts, "transaction_id", "left").withColumn(
+            "is_first_transaction", F.coalesce("is_first_transaction", F.lit(False)))
+
+    return routed(df, "user_id", plain, heavy, **routing)
+
+
+def features(df: DataFrame, hot: list | str) -> DataFrame:
+    """The features with a given route: `[]` for ordinary users, `ALL` for heavy ones."""
+    out = trailing_month(df, {"user_distinct_countries_30d": "billing_country_iso",
+                              "user_distinct_merchants_30d": "merchant_id"}, hot=hot)
+    return first_transaction(velocity(out, 300, "velocity_count_5min", hot=hot), hot=hot)
+
+
+def enrich(df: DataFrame, hot: list | None = None, min_rows: int = HOT_ROWS,
+           small_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
+    """All behavioural features of valid payments. Heavy users are searched once and split off once."""
     keys = hot_keys(df.select("user_id"), "user_id", min_rows, small_bytes) if hot is None else hot
     if not keys:
-        return plain(df)
-    heavy = df.filter(is_hot("user_id", keys))
-    firsts = heavy.groupBy("user_id").agg(F.min(key).alias("_first")).select(
-        F.col("_first.transaction_id").alias("transaction_id"), F.lit(True).alias("is_first_transaction"))
-    flagged = heavy.join(firsts, "transaction_id", "left").withColumn(
-        "is_first_transaction", F.coalesce("is_first_transaction", F.lit(False)))
-    return plain(df.filter(~is_hot("user_id", keys))).unionByName(flagged)
-
-
-def enrich(df: DataFrame, **options) -> DataFrame:
-    """All behavioural features of valid payments. The search for heavy users runs once for all of them."""
-    if options.get("hot") is None:
-        options["hot"] = hot_keys(df.select("user_id"), "user_id", options.pop("min_rows", HOT_ROWS),
-                                  options.pop("small_bytes", SMALL_INPUT_BYTES))
-    out = trailing_month(df, {"user_distinct_countries_30d": "billing_country_iso",
-                              "user_distinct_merchants_30d": "merchant_id"}, **options)
-    out = velocity(out, 300, "velocity_count_5min", **options)
-    return first_transaction(out, **options)
+        return features(df, [])
+    heavy = is_hot("user_id", keys)
+    return features(df.filter(~heavy), []).unionByName(features(df.filter(heavy), ALL))
 
 
 def curated(df: DataFrame, loaded_at) -> DataFrame:

@@ -183,10 +183,10 @@ def entry_exit(events: DataFrame) -> DataFrame:
         F.min_by("page", order).alias("entry_page"), F.max_by("page", order).alias("exit_page"))
 
 
-def sessionise(events: DataFrame, key: str, at: str, gap_seconds: int, route=gap_sessions, **options) -> DataFrame:
+def sessionise(events: DataFrame, key: str, at: str, gap_seconds: int, **routing) -> DataFrame:
     """Sessions by inactivity gap for events without a session id: one row per key and session."""
     timed = events.withColumn("_micros", F.unix_micros(at))
-    opened = route(timed, key, "_micros", gap_seconds * 1_000_000, **options)
+    opened = gap_sessions(timed, key, "_micros", gap_seconds * 1_000_000, **routing)
     return opened.groupBy(key, "session_open").agg(
         F.min(at).alias("session_start"), F.max(at).alias("session_end"), F.count(F.lit(1)).alias("total_events"),
     ).drop("session_open")

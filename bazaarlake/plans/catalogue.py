@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bazaarlake.functions import scalars as S
-from bazaarlake.functions import timeline
 from bazaarlake.functions.ranking import add_ntiles, dedup_latest
-from bazaarlake.functions.skew import hot_keys
+from bazaarlake.functions.skew import ALL, hot_keys
 from bazaarlake.operators import bi, crm, fraud, funnel, gold, kyc, logistics, ml, privacy, quality, sessions, tables
 from bazaarlake.operators import payments as P
 from bazaarlake.plans import bindings as B
@@ -211,7 +210,7 @@ def user_rolling_30d(spark, sf):
 @query
 def user_rolling_30d_swept(spark, sf):
     """The same figures with every user on the heavy-key route."""
-    return P.trailing_month(valid(spark, sf), route=timeline.trailing_swept).select(*_MONTH)
+    return P.trailing_month(valid(spark, sf), hot=ALL).select(*_MONTH)
 
 
 @query
@@ -221,7 +220,7 @@ def user_distinct_30d(spark, sf):
 
 @query
 def user_distinct_30d_swept(spark, sf):
-    return P.trailing_month(valid(spark, sf), _DISTINCT, route=timeline.trailing_swept).select(
+    return P.trailing_month(valid(spark, sf), _DISTINCT, hot=ALL).select(
         "transaction_id", *_DISTINCT)
 
 
@@ -282,7 +281,22 @@ def session_gap_30m(spark, sf):
 def session_gap_30m_chunked(spark, sf):
     """The same sessions with every user on the heavy-key route."""
     rows = B.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    return sessions.sessionise(rows, "user_id", "ts", 1_800, route=timeline.gap_sessions_chunked)
+    return sessions.sessionise(rows, "user_id", "ts", 1_800, hot=ALL)
+
+
+@query
+def event_gaps_chunked(spark, sf):
+    """The same pauses with every user on the heavy-key route."""
+    rows = B.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return sessions.previous_event_gap(rows, "user_id", "ts", "event_id", hot=ALL).select("event_id", "gap_seconds")
+
+
+@query
+def silver_payments_swept(spark, sf):
+    """All features of the payments table with every user on the heavy-key route."""
+    return P.features(valid(spark, sf), ALL).select(
+        *_MONTH, "velocity_count_5min", "is_first_transaction", "user_distinct_countries_30d",
+        "user_distinct_merchants_30d")
 
 
 @query

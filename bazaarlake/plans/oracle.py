@@ -131,6 +131,10 @@ ORACLES["incremental_refresh"] = f"""WITH {O.FEATURES}, starts AS (
 full_table AS (SELECT *, count(DISTINCT merchant_id) OVER w AS user_distinct_merchants_30d FROM featured {W30})
 SELECT {MONTH}, n5 AS velocity_count_5min, is_first_transaction, user_distinct_merchants_30d
 FROM full_table JOIN starts ON user_id = new_user AND event_timestamp >= first_new"""
+ORACLES["silver_payments_swept"] = f"""WITH {O.FEATURES}
+SELECT {MONTH}, n5 AS velocity_count_5min, is_first_transaction,
+  count(DISTINCT billing_country_iso) OVER w AS user_distinct_countries_30d,
+  count(DISTINCT merchant_id) OVER w AS user_distinct_merchants_30d FROM featured {W30}"""
 ORACLES["upsert_latest"] = """SELECT o_orderkey, o_custkey, o_orderstatus,
   CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE o_totalprice + 1 END AS o_totalprice FROM orders"""
 
@@ -142,7 +146,7 @@ ORACLES["session_gap_30m"] = ORACLES["session_gap_30m_chunked"] = """WITH gaps A
 numbered AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts) AS session_no FROM gaps)
 SELECT user_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS total_events
 FROM numbered GROUP BY user_id, session_no"""
-ORACLES["event_gaps"] = """SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT)
+ORACLES["event_gaps"] = ORACLES["event_gaps_chunked"] = """SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT)
   - CAST(floor(epoch(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id))) AS BIGINT) AS gap_seconds FROM events"""
 ORACLES["clickstream_clean"] = f"""WITH {O.CLICKSTREAM}
 SELECT event_id, event_timestamp, event_date, duration_seconds, scroll_depth_pct,

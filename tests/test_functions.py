@@ -74,7 +74,7 @@ def test_trailing_equals_brute_force(spark, rows, hot):
 def test_swept_route_property(spark, rows, points, width, chunk):
     events = [(i, u, t, 1, c) for i, (u, t, c) in enumerate(points)]
     df = spark.createDataFrame(events, "id int, u int, t bigint, v int, c string")
-    got = timeline.trailing_swept(df, "u", "t", width, {"n": F.lit(1), "s": F.col("v")}, {"d": "c"}, chunk=chunk)
+    got = timeline.trailing(df, "u", "t", width, {"n": F.lit(1), "s": F.col("v")}, {"d": "c"}, chunk=chunk, hot=skew.ALL)
     assert rows(got.select("id", F.col("n").cast("int"), F.col("s").cast("int"), F.col("d").cast("int"))) == brute(
         events, width)
 
@@ -85,7 +85,7 @@ def test_sessions_same_on_both_routes(spark, rows, chunk):
     df = spark.createDataFrame(events, "id int, u int, t bigint, v int, c string")
     plain = timeline.gap_sessions(df, "u", "t", 12, hot=[])
     mixed = timeline.gap_sessions(df, "u", "t", 12, chunk=chunk, hot=[0])
-    chunked = timeline.gap_sessions_chunked(df, "u", "t", 12, chunk)
+    chunked = timeline.gap_sessions(df, "u", "t", 12, chunk=chunk, hot=skew.ALL)
     want = rows(plain, "id", "session_open")
     assert rows(mixed, "id", "session_open") == want and rows(chunked, "id", "session_open") == want
 
