@@ -38,6 +38,12 @@ def parse_timestamp(text: Column) -> Column:
     return F.try_to_timestamp(text)
 
 
+def ticks(df: DataFrame, column: str) -> Column:
+    """A whole number that orders like the column: microseconds of a timestamp, else the number itself."""
+    kind = dict(df.dtypes)[column]
+    return F.unix_micros(column) if kind == "timestamp" else F.col(column).cast("bigint")
+
+
 def surrogate_key(*columns: Column | str, missing: str = "_null_") -> Column:
     parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(missing)) for c in columns]
     return F.md5(F.concat_ws("-", *parts))

@@ -73,10 +73,10 @@ def transitions(parcels: DataFrame, **options) -> DataFrame:
     order id that holds very many events (a placeholder, say) is split by day.
     """
     rows = parcels.select("event_id", "order_id", "event_timestamp", "status").withColumn(
-        "_micros", F.unix_micros("event_timestamp"))
-    out = previous(rows, "order_id", "_micros", "event_id", "status", "came_from", 86_400_000_000, **options)
+        "_at", S.ticks(parcels, "event_timestamp"))
+    out = previous(rows, "order_id", "_at", "event_id", "status", "came_from", 86_400_000_000, **options)
     now, was = step_no(F.col("status")), step_no(F.col("came_from"))
-    return out.drop("_micros").withColumn("is_legal", F.coalesce(now >= was, F.lit(True)))
+    return out.drop("_at").withColumn("is_legal", F.coalesce(now >= was, F.lit(True)))
 
 
 def delivery_sla(parcels: DataFrame) -> DataFrame:
