@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from bazaarlake.llm import (
-    bpe, decontaminate, language, neighbours, sharding, token_counts, url_filter, warc,
+    bpe, decontaminate, jaccard, language, neighbours, sharding, token_counts, toxicity, url_filter, warc,
 )
 from bazaarlake.llm.common import table
 
@@ -24,6 +24,14 @@ def op3_decontamination(spark, sf):
     return decontaminate.report(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op4_toxicity(spark, sf):
+    return toxicity.judge_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op5_ngram_jaccard(spark, sf):
+    return jaccard.report(table(spark, sf, "documents"))
+
+
 def op6_warc_revisits(spark, sf):
     return warc.report(table(spark, sf, "pages"))
 
@@ -46,7 +54,7 @@ def op10_nearest_neighbours(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_byte_bpe, op2_token_counts, op3_decontamination, op6_warc_revisits, op7_sharding, op8_url_filter,
+    op1_byte_bpe, op2_token_counts, op3_decontamination, op4_toxicity, op5_ngram_jaccard, op6_warc_revisits, op7_sharding, op8_url_filter,
     op9_language_id, op10_nearest_neighbours)}
 ORACLES = {"op6_warc_revisits": warc.ORACLE, "op8_url_filter": url_filter.ORACLE,
            "op10_nearest_neighbours": neighbours.ORACLE}
