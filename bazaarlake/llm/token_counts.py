@@ -1,10 +1,11 @@
 """Token counts without ids.
 
 Documents are cut into pre-tokens once. A chunk of documents keeps, as one compressed row, how often each of its
-distinct pre-tokens occurs in each document; its distinct pre-tokens leave as rows. They are partitioned and sorted by
-pre-token, so equal ones lie side by side and each distinct pre-token of the corpus is run through the model once. The
+distinct pre-tokens occurs in each document; its distinct pre-tokens leave as one packed row per hash bucket. A bucket
+sees all occurrences of its pre-tokens, so each distinct pre-token of the corpus is run through the model once. The
 piece counts return to their chunk, where count times frequency is summed per document. What is shuffled grows with
-the distinct pre-tokens of the chunks, not with the tokens, and a very common pre-token has one row per chunk.
+the distinct pre-tokens of the chunks, not with the tokens, and a very common pre-token has one entry per chunk. There
+are as many buckets as shuffle partitions; what a task remembers is the distinct pre-tokens of one bucket.
 """
 
 from __future__ import annotations
@@ -18,12 +19,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHUNK_BYTES = 12_000_000
-ROWS = 20_000
 
 
 def read_model(path: str) -> str:
@@ -88,6 +89,23 @@ def _unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     return sizes, length, deltas, often
 
 
+def _pack_words(words: list[str], places: np.ndarray) -> bytes:
+    raw = [w.encode() for w in words]
+    heads = [np.diff(places, prepend=0).astype(np.uint32), np.fromiter(map(len, raw), np.uint32, len(raw))]
+    planes = [np.ascontiguousarray(x.view(np.uint8).reshape(-1, 4).T).tobytes() for x in heads]
+    return zstandard.ZstdCompressor(level=3).compress(len(raw).to_bytes(8, "little") + b"".join([*planes, *raw]))
+
+
+def _unpack_words(packed: bytes) -> tuple[list[str], np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(packed)
+    n = int.from_bytes(raw[:8], "little")
+    gaps, sizes = (np.ascontiguousarray(np.frombuffer(raw, np.uint8, 4 * n, 8 + k * 4 * n).reshape(4, n).T).view(np.uint32)[:, 0]
+                   for k in range(2))
+    ends = np.cumsum(sizes, dtype=np.int64) + 8 + 8 * n
+    cuts = zip((ends - sizes).tolist(), ends.tolist(), strict=True)
+    return [raw[a:b].decode() for a, b in cuts], np.cumsum(gaps, dtype=np.int64)
+
+
 def count(docs: DataFrame, model: str, pattern: str, limit: int = 512, id_column: str = "doc_id",
           text: str = "text") -> DataFrame:
     """`id_column`, n_bytes, n_tokens and over_limit (n_tokens > `limit`) of every row.
@@ -96,25 +114,22 @@ def count(docs: DataFrame, model: str, pattern: str, limit: int = 512, id_column
     behind. `model` is a byte-level file of the tokenizers library; `pattern` is its split into pre-tokens.
     """
     special = special_strings(model)
-    context = docs.sparkSession.sparkContext
-    shared = context.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kind = docs.schema[id_column].dataType
-    source = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text")).withColumn(
-        "part", F.spark_partition_id())
-    rows_schema = "word string, chunk long, place int, packed binary, ids array<long>"
-    names = ["word", "chunk", "place", "packed", "ids"]
-    arrow = [pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
+    source = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text).alias("text"),
+                         F.spark_partition_id().alias("part"))
+    names = ["bucket", "chunk", "packed", "ids"]
+    arrow = [pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
 
     def rows_of(chunk, ids, rows):
         words, packed = _chunk(rows)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(v, t) for v, t in zip(([None], [chunk], [-1], [packed], [ids]), arrow, strict=True)], names)
-        for a in range(0, len(words), ROWS):
-            own = words[a:a + ROWS]
-            n = len(own)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(own, arrow[0]), pa.array(np.full(n, chunk)), pa.array(np.arange(a, a + n, dtype=np.int32)),
-                 pa.nulls(n, arrow[3]), pa.nulls(n, arrow[4])], names)
+        made = [(chunk % buckets, chunk, packed, ids)]
+        bucket = np.fromiter((xxhash.xxh32_intdigest(w) % buckets for w in words), np.int32, len(words))
+        order = np.argsort(bucket, kind="stable")
+        for own in np.split(order, 1 + np.flatnonzero(np.diff(bucket[order]))) if words else []:
+            made.append((int(bucket[own[0]]), chunk, _pack_words([words[k] for k in own], own), None))
+        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*made, strict=True), arrow, strict=True)], names)
 
     def cut(batches):
         split = Splitter(pattern, special)
@@ -137,27 +152,33 @@ def count(docs: DataFrame, model: str, pattern: str, limit: int = 512, id_column
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        made = Tokenizer.from_str(shared.value)
-        last, size = None, 0
+        made, known, last = Tokenizer.from_str(shared.value), {}, None
         for batch in batches:
-            words = batch.column(0).to_pylist()
-            fresh = [w for k, w in enumerate(words) if w is not None and w != (words[k - 1] if k else last)]
-            sizes = iter([len(e.ids) for e in made.encode_batch(fresh, add_special_tokens=False)])
-            out = np.zeros(len(words), np.int32)
-            for k, word in enumerate(words):
-                if word is not None:
-                    if word != last:
-                        last, size = word, next(sizes)
-                    out[k] = size
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1), batch.column(2), pa.array(out), batch.column(3), batch.column(4)],
-                ["chunk", "place", "pieces", "packed", "ids"])
+            for at in range(batch.num_rows):
+                bucket, chunk, packed, ids = (batch.column(k)[at].as_py() for k in range(4))
+                if bucket != last:
+                    known.clear()
+                    last = bucket
+                places = sizes = None
+                if ids is None:
+                    words, where = _unpack_words(packed)
+                    fresh = [w for w in words if w not in known]
+                    for a in range(0, len(fresh), 10_000):
+                        part = fresh[a:a + 10_000]
+                        known.update(zip(part, (len(e) for e in made.encode_batch(part, add_special_tokens=False)), strict=True))
+                    sizes = np.fromiter(map(known.__getitem__, words), np.int32, len(words)).tobytes()
+                    places, packed = where.astype(np.int32).tobytes(), None
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([chunk], pa.int64()), pa.array([places], pa.binary()), pa.array([sizes], pa.binary()),
+                     pa.array([packed], pa.binary()), pa.array([ids], arrow[3])],
+                    ["chunk", "places", "pieces", "packed", "ids"])
 
     def add(table: pa.Table) -> pa.Table:
         packed = table.filter(pc.is_valid(table["packed"]))
         words = table.filter(pc.is_null(table["packed"]))
-        pieces_of = np.zeros(words.num_rows, np.int64)
-        pieces_of[words["place"].to_numpy()] = words["pieces"].to_numpy()
+        places = np.frombuffer(b"".join(words["places"].to_pylist()), np.int32)
+        pieces_of = np.zeros(len(places), np.int64)
+        pieces_of[places] = np.frombuffer(b"".join(words["pieces"].to_pylist()), np.int32)
         sizes, length, deltas, often = _unpack(packed["packed"][0].as_py())
         ends = np.cumsum(sizes, dtype=np.int64)
         starts = ends - sizes
@@ -168,12 +189,9 @@ def count(docs: DataFrame, model: str, pattern: str, limit: int = 512, id_column
         return pa.table({"id": packed["ids"].combine_chunks().values, "n_bytes": pa.array(length),
                          "n_tokens": pa.array(sums[ends] - sums[starts])})
 
-    keyed = source.withColumn("id", F.col("id").cast("bigint"))
-    cut_rows = keyed.mapInArrow(cut, rows_schema)
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Chunk rows have no word: they are dealt by chunk.
-    dealt = cut_rows.repartition(parts, F.coalesce("word", F.col("chunk").cast("string"))).sortWithinPartitions("word")
-    counted = dealt.mapInArrow(pieces, "chunk long, place int, pieces int, packed binary, ids array<long>")
+    cut_rows = source.mapInArrow(cut, "bucket int, chunk long, packed binary, ids array<long>")
+    dealt = cut_rows.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    counted = dealt.mapInArrow(pieces, "chunk long, places binary, pieces binary, packed binary, ids array<long>")
     summed = counted.groupBy("chunk").applyInArrow(add, "id long, n_bytes long, n_tokens long")
     return summed.select(F.col("id").cast(kind).alias(id_column), "n_bytes", "n_tokens",
                          (F.col("n_tokens") > limit).alias("over_limit"))
