@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaarlake.functions.skew import SMALL_INPUT_BYTES, is_small
 from bazaarlake.session import checkpointed
 
 
@@ -51,11 +50,8 @@ def ntile_by_sort(df: DataFrame, key: str, order_by: list[Column], tiles: int, n
     )
 
 
-def add_ntiles(df: DataFrame, key: str, scores: dict[str, list[Column]], tiles: int = 5,
-               small_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
-    """Add one NTILE column per score. A small input uses plain windows, a large one distributed sorts."""
-    if is_small(df, small_bytes):
-        return df.withColumns({n: F.ntile(tiles).over(Window.orderBy(*o)) for n, o in scores.items()})
+def add_ntiles(df: DataFrame, key: str, scores: dict[str, list[Column]], tiles: int = 5) -> DataFrame:
+    """Add one NTILE column per score, each from a distributed sort."""
     stable = checkpointed(df)
     out = stable
     for name, order in scores.items():

@@ -2,8 +2,7 @@
 
 Operators that order rows inside a key (trailing windows, session gaps) send each key to one task. They ask here
 which keys hold too many rows and route those rows through an algorithm that also splits them by time. The answer
-changes only the route, never the result, so it is safe to keep just the heaviest keys: when more keys than that are
-heavy, the work is already spread over that many tasks.
+changes only the route, never the result.
 """
 
 from __future__ import annotations
@@ -15,46 +14,21 @@ from pyspark.sql import functions as F
 
 from bazaarlake.session import checkpointed
 
-SMALL_INPUT_BYTES = 256 * 1024 * 1024
 HOT_ROWS = 2_000_000
-MAX_HOT_KEYS = 1_000
 ALL = "all"
 
 
-def plan_bytes(df: DataFrame) -> int | None:
-    """Bytes of the tables and files that the optimized plan reads, after partition pruning; no job runs.
+def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> list:
+    """All keys with more than `min_rows` rows, heaviest first.
 
-    The optimizer's own estimate of a join is the product of its sides, which calls every join huge. The sum of
-    the leaves is what a query really scans. A join that multiplies rows can exceed it, at the price of speed only.
+    One column is scanned and counted with map-side combine. The driver receives at most rows / `min_rows` values.
     """
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
-    except Exception:  # no JVM handle, as in a remote session
-        return None
-    total = 0
-    while leaves.hasNext():
-        total += int(str(leaves.next().stats().sizeInBytes()))
-    return total
-
-
-def is_small(df: DataFrame, limit: int = SMALL_INPUT_BYTES) -> bool:
-    size = plan_bytes(df)
-    return size is not None and size <= limit
-
-
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS, small_bytes: int = SMALL_INPUT_BYTES) -> list:
-    """Keys with more than `min_rows` rows, heaviest first.
-
-    An input below `small_bytes` cannot hold one. Otherwise one column is scanned and counted with map-side
-    combine; the driver receives at most MAX_HOT_KEYS values.
-    """
-    if df.isStreaming or is_small(df, small_bytes):
+    if df.isStreaming:
         return []
     heavy = (
         df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") > min_rows)
         .orderBy(F.col("_rows").desc(), F.col(key))
-        .limit(MAX_HOT_KEYS)
     )
     return [row[0] for row in heavy.select(key).collect()]
 
@@ -64,17 +38,22 @@ def is_hot(key: str, keys: list) -> Column:
 
 
 def routed(df: DataFrame, key: str, plain: Callable[[DataFrame], DataFrame],
-           heavy: Callable[[DataFrame], DataFrame], min_rows: int = HOT_ROWS, small_bytes: int = SMALL_INPUT_BYTES,
-           hot: list | str | None = None) -> DataFrame:
+           heavy: Callable[[DataFrame], DataFrame], min_rows: int = HOT_ROWS, hot: list | str | None = None,
+           order: str | None = None) -> DataFrame:
     """Rows of ordinary keys through `plain`, rows of heavy keys through `heavy`.
 
-    `hot` gives the heavy keys, `ALL` sends every row the heavy way, None searches. The heavy route reads its rows
-    several times, so they are checkpointed first.
+    `hot` gives the heavy keys, `ALL` sends every row with a key the heavy way, None searches. Rows without key always
+    go the plain way, and with `order` so do rows whose `order` is NULL: they see only each other. The heavy route
+    reads its rows several times, so they are checkpointed first.
     """
     if hot == ALL:
-        return heavy(checkpointed(df))
-    keys = hot_keys(df.select(key), key, min_rows, small_bytes) if hot is None else hot
-    if not keys:
-        return plain(df)
-    rows = checkpointed(df.filter(is_hot(key, keys)))
-    return plain(df.filter(~is_hot(key, keys))).unionByName(heavy(rows))
+        chosen = F.col(key).isNotNull()
+    else:
+        keys = hot_keys(df.select(key), key, min_rows) if hot is None else hot
+        if not keys:
+            return plain(df)
+        chosen = is_hot(key, keys)
+    if order is not None:
+        chosen = chosen & F.col(order).isNotNull()
+    rows = checkpointed(df.filter(chosen))
+    return plain(df.filter(~chosen)).unionByName(heavy(rows))

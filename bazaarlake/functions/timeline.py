@@ -72,7 +72,12 @@ def running_sums(df: DataFrame, key: str, order: str, columns: list[str], chunk:
 def _sweep(df: DataFrame, key: str, order: str, width: int, values: dict[str, Column],
            distinct: dict[str, str], chunk: int) -> DataFrame:
     names = [*values, *distinct]
-    ticks = df.groupBy(key, order).agg(*[F.sum(v).alias(n) for n, v in values.items()])
+    # A window without any value has no sum: how many values are there travels along.
+    held = {n: f"_held_{n}" for n in values}
+    names += held.values()
+    ticks = df.groupBy(key, order).agg(
+        *[F.coalesce(F.sum(v), F.lit(0)).alias(n) for n, v in values.items()],
+        *[F.count(v).alias(held[n]) for n, v in values.items()])
 
     def move(frame: DataFrame, at: Column, sign: int, present: list[str]) -> DataFrame:
         return frame.select(
@@ -81,7 +86,7 @@ def _sweep(df: DataFrame, key: str, order: str, width: int, values: dict[str, Co
         )
 
     leaving = F.col(order) + F.lit(width + 1)
-    moves = [move(ticks, F.col(order), 1, list(values)), move(ticks, leaving, -1, list(values))]
+    moves = [move(ticks, F.col(order), 1, [*values, *held.values()]), move(ticks, leaving, -1, [*values, *held.values()])]
     for name, column in distinct.items():
         # A value is present from its first sighting until `width` after the last one of an unbroken run.
         seen = df.filter(F.col(column).isNotNull()).select(key, column, order).distinct()
@@ -93,7 +98,8 @@ def _sweep(df: DataFrame, key: str, order: str, width: int, values: dict[str, Co
     swept = running_sums(merged, key, "_at", names, chunk)
     kinds = {n: "bigint" for n in distinct}
     state = swept.select(
-        key, F.col("_at").alias(order), *[F.col(n).cast(kinds.get(n, _CUBE)).alias(n) for n in names]
+        key, F.col("_at").alias(order), *[F.col(n).cast(kinds[n]).alias(n) for n in distinct],
+        *[F.when(F.col(held[n]) > 0, F.col(n)).cast(_CUBE).alias(n) for n in values]
     )
     return df.join(state, [key, order])
 
@@ -115,7 +121,7 @@ def trailing(df: DataFrame, key: str, order: str, width: int, values: dict[str,
             **{n: count_distinct_over(F.col(c), window) for n, c in distinct.items()},
         })
 
-    return routed(df, key, plain, lambda rows: _sweep(rows, key, order, width, values, distinct, chunk), **routing)
+    return routed(df, key, plain, lambda rows: _sweep(rows, key, order, width, values, distinct, chunk), order=order, **routing)
 
 
 def _sessions_plain(df: DataFrame, key: str, order: str, gap: int) -> DataFrame:
@@ -146,7 +152,7 @@ def _sessions_chunked(df: DataFrame, key: str, order: str, gap: int, chunk: int)
 def gap_sessions(df: DataFrame, key: str, order: str, gap: int, chunk: int | None = None, **routing) -> DataFrame:
     """Add `session_open`, the `order` value that opened the row's session; a pause above `gap` opens a new one."""
     return routed(df, key, lambda rows: _sessions_plain(rows, key, order, gap),
-                  lambda rows: _sessions_chunked(rows, key, order, gap, chunk or 48 * gap), **routing)
+                  lambda rows: _sessions_chunked(rows, key, order, gap, chunk or 48 * gap), order=order, **routing)
 
 
 def previous(df: DataFrame, key: str, order: str, tie: str, value: str, name: str, chunk: int,
@@ -166,9 +172,10 @@ def previous(df: DataFrame, key: str, order: str, tie: str, value: str, name: st
         ends = rows.groupBy(key, "_chunk").agg(F.max_by(F.struct(value), at).alias("_last"), F.min(at).alias("_first"))
         across = Window.partitionBy(key).orderBy("_chunk")
         ends = ends.select(key, "_chunk", "_first", F.lag("_last").over(across)[value].alias("_carried"))
-        joined = plain(rows, "_chunk").join(ends, [key, "_chunk"])
-        return joined.withColumn(
-            name, F.when(F.col("_first") == at, F.col("_carried")).otherwise(F.col(name))
-        ).drop("_chunk", "_first", "_carried")
+        looked = plain(rows, "_chunk").alias("l")  # rows without time are a chunk of their own, the first
+        joined = looked.join(ends.alias("r"), (F.col(f"l.{key}") == F.col(f"r.{key}")) & F.col("l._chunk").eqNullSafe(F.col("r._chunk")))
+        opens = F.col("_first").eqNullSafe(F.struct(F.col(f"l.{order}").alias(order), F.col(f"l.{tie}").alias(tie)))
+        return joined.select(*[F.col(f"l.{c}") for c in frame.columns if c != name],
+                             F.when(opens, F.col("_carried")).otherwise(F.col(f"l.{name}")).alias(name))
 
     return routed(df, key, plain, heavy, **routing)

@@ -37,7 +37,8 @@ def ip_reputation(addresses: DataFrame, column: str = "ip_address") -> DataFrame
 def add_burst(df: DataFrame, **options) -> DataFrame:
     """Payments and different merchants of the same user, address and device in the last minute."""
     keyed = df.withColumns({
-        "_actor": F.concat_ws("|", F.col("user_id"), F.col("ip_address"), F.col("device_fingerprint")),
+        # A missing part is a value of its own, so that it cannot shift the others.
+        "_actor": F.concat_ws("|", *[F.coalesce(c, F.lit("\0")) for c in ("user_id", "ip_address", "device_fingerprint")]),
         "_second": F.unix_timestamp("event_timestamp"),
     })
     out = trailing(keyed, "_actor", "_second", C.VELOCITY_SECONDS, {"burst_count": F.lit(1)},

@@ -12,16 +12,19 @@ from bazaarlake.functions import scalars as S
 def funnel(events: DataFrame) -> DataFrame:
     """Sessions that reached each step in order, and the conversion from the step before.
 
-    The first time of every step is found per session by conditional minimums; a step counts when it does not
-    precede the step before it, which itself must count. One shuffle on the session, then one row per step.
+    A step is reached at its first event at or after the step before was reached, so an earlier visit of a page does
+    not hide a later one. Each step reads its own events, joined to one row per session that reached the step before.
     """
-    at = F.col("event_timestamp")
-    firsts = events.groupBy("session_id").agg(
-        *[F.min(F.when(F.col("page") == step, at)).alias(f"t{i}") for i, step in enumerate(C.FUNNEL_STEPS)])
-    reached = [F.col("t0").isNotNull()]
-    for i in range(1, len(C.FUNNEL_STEPS)):
-        reached.append(reached[-1] & F.coalesce(F.col(f"t{i}") >= F.col(f"t{i - 1}"), F.lit(False)))
-    totals = firsts.agg(*[F.count_if(r).alias(f"n{i}") for i, r in enumerate(reached)])
+    seen = events.select("session_id", "page", F.col("event_timestamp").alias("at")).filter(
+        F.col("at").isNotNull() & F.col("session_id").isNotNull())
+    reached, totals = None, None
+    for i, step in enumerate(C.FUNNEL_STEPS):
+        own = seen.filter(F.col("page") == step)
+        if reached is not None:
+            own = own.join(reached, "session_id").filter(F.col("at") >= F.col("since"))
+        reached = own.groupBy("session_id").agg(F.min("at").alias("since"))
+        count = reached.agg(F.count(F.lit(1)).alias(f"n{i}"))
+        totals = count if totals is None else totals.crossJoin(count)  # one row each
     rows = [
         F.struct(F.lit(i + 1).alias("step_no"), F.lit(step).alias("step"), F.col(f"n{i}").alias("sessions"),
                  (S.safe_divide(F.col(f"n{i}"), F.col(f"n{i - 1}")) if i else F.lit(1.0)).alias("step_conversion"))

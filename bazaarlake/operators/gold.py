@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from bazaarlake import constants as C
 from bazaarlake.functions import scalars as S
 from bazaarlake.functions.ranking import add_ntiles
-from bazaarlake.functions.skew import SMALL_INPUT_BYTES
 from bazaarlake.functions.timeline import trailing
 from bazaarlake.operators import payments as P
 
@@ -67,7 +66,7 @@ def session_totals(sessions: DataFrame) -> DataFrame:
 
 
 def dim_customers(crm: DataFrame, payments: DataFrame, sessions: DataFrame, as_of, tie: str = "user_id",
-                  compat: bool = False, small_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
+                  compat: bool = False) -> DataFrame:
     """One row per customer with recency, frequency and money scores.
 
     Facts are aggregated before the joins, so the joins are one row per user on each side. A customer who never
@@ -96,7 +95,7 @@ def dim_customers(crm: DataFrame, payments: DataFrame, sessions: DataFrame, as_o
         "rfm_recency_score": [recency, F.col(tie)],
         "rfm_frequency_score": [F.col("frequency"), F.col(tie)],
         "rfm_monetary_score": [F.col("monetary_eur"), F.col(tie)],
-    }, small_bytes=small_bytes)
+    })
 
 
 def risk_category(adult: Column, price_max: Column) -> Column:

@@ -9,7 +9,7 @@ from bazaarlake import constants as C
 from bazaarlake import schemas
 from bazaarlake.functions import scalars as S
 from bazaarlake.functions.ranking import dedup_latest
-from bazaarlake.functions.skew import ALL, HOT_ROWS, SMALL_INPUT_BYTES, hot_keys, is_hot, routed
+from bazaarlake.functions.skew import ALL, HOT_ROWS, hot_keys, is_hot, routed
 from bazaarlake.functions.timeline import trailing
 
 DAY = 86_400
@@ -152,10 +152,9 @@ def features(df: DataFrame, hot: list | str) -> DataFrame:
     return first_transaction(velocity(out, 300, "velocity_count_5min", hot=hot), hot=hot)
 
 
-def enrich(df: DataFrame, hot: list | None = None, min_rows: int = HOT_ROWS,
-           small_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
+def enrich(df: DataFrame, hot: list | None = None, min_rows: int = HOT_ROWS) -> DataFrame:
     """All behavioural features of valid payments. Heavy users are searched once and split off once."""
-    keys = hot_keys(df.select("user_id"), "user_id", min_rows, small_bytes) if hot is None else hot
+    keys = hot_keys(df.select("user_id"), "user_id", min_rows) if hot is None else hot
     if not keys:
         return features(df, [])
     heavy = is_hot("user_id", keys)

@@ -403,17 +403,14 @@ def dim_date(spark, sf):
 
 @query
 def dim_customers_rfm(spark, sf):
-    """Payments up to the cut-off day only, so that some customers have none."""
-    paid = curated(spark, sf).filter(F.col("event_date") < F.lit("2024-01-08").cast("date"))
-    return gold.dim_customers(silver_crm(spark, sf), paid, silver_sessions_(spark, sf), AS_OF)
+    return gold.dim_customers(silver_crm(spark, sf), curated(spark, sf), silver_sessions_(spark, sf), AS_OF)
 
 
 @query
 def rfm_tiles_sorted(spark, sf):
     """Tiles of all orders by price from the distributed sort that replaces the single-task window."""
     orders = B.table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    return add_ntiles(orders, "o_orderkey", {"price_tile": [F.col("o_totalprice"), F.col("o_orderkey")]},
-                      small_bytes=0).select("o_orderkey", "price_tile")
+    return add_ntiles(orders, "o_orderkey", {"price_tile": [F.col("o_totalprice"), F.col("o_orderkey")]}).select("o_orderkey", "price_tile")
 
 
 @query

@@ -23,7 +23,7 @@ def run_payments(spark: SparkSession, registry: Registry, run_date: str, as_of:
     """
     day = of_day(registry.read(spark, "bronze.payments"), run_date)
     judged = payments.judge(payments.clean(payments.latest(day)))
-    valid, kept, rejected = tables.write_split(judged, registry.path("quarantine.payments"))
+    valid, kept, rejected = tables.write_split(judged, registry.path("quarantine.payments"), run_date)
     base_path = registry.path("silver.payments") + "_base"
     history_exists = tables.exists(spark, base_path)
     base = valid.drop("reject_reason")

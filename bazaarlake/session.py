@@ -44,7 +44,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if not context.getCheckpointDir():
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
-            if not context.master.startswith("local"):
+            if context.master != "local" and not context.master.startswith("local["):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
             folder = tempfile.mkdtemp(prefix="bazaarlake-checkpoint-")
         context.setCheckpointDir(folder)

@@ -81,8 +81,11 @@ def accepted_uploads(files: DataFrame, max_bytes: int = C.UPLOAD_MAX_BYTES) -> D
     return files.filter(F.lower("path").rlike(r"\.(jpe?g|png|webp)$") & (F.col("length") <= max_bytes))
 
 
-def pending_documents(files: DataFrame, batch: int = 50) -> DataFrame:
-    """The oldest files of a batch. The batch size is the feature; later runs take the rest."""
+def pending_documents(files: DataFrame, batch: int = 50, finished: DataFrame | None = None) -> DataFrame:
+    """The oldest files that are not in `finished` (its column `path`). The batch size is the feature: a run stores the
+    paths it has worked on, and later runs take the rest."""
+    if finished is not None:
+        files = files.join(finished.select("path").distinct(), "path", "left_anti")
     return files.orderBy("modificationTime", "path").limit(batch)
 
 

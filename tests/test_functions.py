@@ -3,6 +3,7 @@ import random
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from bazaarlake.functions import ranking, skew, timeline
@@ -92,9 +93,23 @@ def test_sessions_same_on_both_routes(spark, rows, chunk):
 
 def test_hot_keys_finds_the_heavy_third(spark):
     df = spark.createDataFrame([(1,)] * 40 + [(i,) for i in range(2, 60)] + [(None,)] * 50, "u int")
-    assert skew.hot_keys(df, "u", min_rows=10, small_bytes=0) == [1]
-    # A known small input is not searched at all.
-    assert skew.hot_keys(spark.range(100).select(F.lit(1).alias("u")), "u", min_rows=10) == []
+    assert skew.hot_keys(df, "u", min_rows=10) == [1]
+    assert skew.hot_keys(spark.range(100).select(F.lit(1).alias("u")), "u", min_rows=10) == [1]
+
+
+@pytest.mark.parametrize("hot", [["a"], skew.ALL])
+def test_rows_without_time_or_key_stay_on_every_route(spark, rows, hot):
+    df = spark.createDataFrame(
+        [(1, "a", 5, 1), (2, "a", None, 2), (3, None, 7, 3), (4, "a", 40, None), (5, "a", 41, None), (6, "b", None, 4),
+         (7, "a", None, 8), (8, "a", 90, 5), (9, None, None, 6)], "id int, u string, t bigint, v int")
+
+    def all_of(route):
+        options = {"chunk": 20, "hot": route}
+        return (rows(timeline.previous(df, "u", "t", "id", "v", "p", **options), "id", "p"),
+                rows(timeline.trailing(df, "u", "t", 10, {"s": F.col("v"), "n": F.lit(1)}, {"d": "v"}, **options), "id", "s", "n", "d"),
+                rows(timeline.gap_sessions(df, "u", "t", 10, **options), "id", "session_open"))
+
+    assert all_of(hot) == all_of([])
 
 
 def test_dedup_latest(spark, rows, plan):
@@ -111,9 +126,8 @@ def test_sorted_tiles_equal_window(spark, rows, count, tiles):
     random.seed(count)
     df = spark.createDataFrame([(i, random.choice([None, 1, 1, 1, 2, 9])) for i in range(count)], "k int, v int")
     order = {"t": [F.col("v").asc_nulls_first(), F.col("k")]}
-    small = ranking.add_ntiles(df, "k", order, tiles)
-    large = ranking.add_ntiles(df, "k", order, tiles, small_bytes=0)
-    assert rows(small, "k", "t") == rows(large, "k", "t")
+    window = df.withColumn("t", F.ntile(tiles).over(Window.orderBy(*order["t"])))
+    assert rows(ranking.add_ntiles(df, "k", order, tiles), "k", "t") == rows(window, "k", "t")
 
 
 def test_surrogate_key_is_stable(spark):
