@@ -9,51 +9,60 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake.session import checkpointed
 
 HOT_ROWS = 2_000_000
+BROADCAST_KEYS = 200_000
 ALL = "all"
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> list:
-    """All keys with more than `min_rows` rows, heaviest first.
+def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame | list:
+    """All keys with more than `min_rows` rows, as a stored frame; a stream has none.
 
-    One column is scanned and counted with map-side combine. The driver receives at most rows / `min_rows` values.
+    One column is scanned and counted with map-side combine. The keys stay in Spark.
     """
     if df.isStreaming:
         return []
-    heavy = (
-        df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > min_rows)
-        .orderBy(F.col("_rows").desc(), F.col(key))
-    )
-    return [row[0] for row in heavy.select(key).collect()]
+    counted = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    return checkpointed(counted.filter(F.col("_rows") > min_rows).select(key))
 
 
-def is_hot(key: str, keys: list) -> Column:
-    return F.coalesce(F.col(key).isin(keys), F.lit(False))
+def none_hot(hot: DataFrame | list | str) -> bool:
+    return hot.isEmpty() if isinstance(hot, DataFrame) else not hot
+
+
+def cut(df: DataFrame, key: str, hot: DataFrame | list | str, order: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(ordinary rows, heavy rows). Rows without key are ordinary, and so are rows without `order` if it is given.
+
+    The keys are broadcast only if they are few.
+    """
+    if isinstance(hot, str):
+        marked = df.withColumn("_hot", F.col(key).isNotNull())
+    elif isinstance(hot, DataFrame):
+        keys = hot.select(key, F.lit(True).alias("_hot"))
+        marked = df.join(F.broadcast(keys) if hot.count() <= BROADCAST_KEYS else keys, key, "left")
+    else:
+        marked = df.withColumn("_hot", F.col(key).isin(hot))
+    chosen = F.coalesce("_hot", F.lit(False))
+    if order is not None:
+        chosen = chosen & F.col(order).isNotNull()
+    return marked.filter(~chosen).select(*df.columns), marked.filter(chosen).select(*df.columns)
 
 
 def routed(df: DataFrame, key: str, plain: Callable[[DataFrame], DataFrame],
-           heavy: Callable[[DataFrame], DataFrame], min_rows: int = HOT_ROWS, hot: list | str | None = None,
-           order: str | None = None) -> DataFrame:
+           heavy: Callable[[DataFrame], DataFrame], min_rows: int = HOT_ROWS,
+           hot: DataFrame | list | str | None = None, order: str | None = None) -> DataFrame:
     """Rows of ordinary keys through `plain`, rows of heavy keys through `heavy`.
 
     `hot` gives the heavy keys, `ALL` sends every row with a key the heavy way, None searches. Rows without key always
     go the plain way, and with `order` so do rows whose `order` is NULL: they see only each other. The heavy route
     reads its rows several times, so they are checkpointed first.
     """
-    if hot == ALL:
-        chosen = F.col(key).isNotNull()
-    else:
-        keys = hot_keys(df.select(key), key, min_rows) if hot is None else hot
-        if not keys:
-            return plain(df)
-        chosen = is_hot(key, keys)
-    if order is not None:
-        chosen = chosen & F.col(order).isNotNull()
-    rows = checkpointed(df.filter(chosen))
-    return plain(df.filter(~chosen)).unionByName(heavy(rows))
+    keys = hot_keys(df.select(key), key, min_rows) if hot is None else hot
+    if none_hot(keys):
+        return plain(df)
+    light, rows = cut(df, key, keys, order)
+    return plain(light).unionByName(heavy(checkpointed(rows)))

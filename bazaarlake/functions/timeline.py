@@ -2,7 +2,7 @@
 
 Every function has two exact routes:
 
-* ordinary keys use a plain window partitioned by the key: one shuffle, one sort;
+* ordinary keys use windows partitioned by the key: one shuffle, and work that is linear in the sorted rows;
 * heavy keys use a sweep that also partitions by a time chunk, so no task holds a whole key. A trailing window is a
   running sum of arrivals (+v at t) and departures (-v just after t + width); a running sum over chunks is the sum
   inside the chunk plus the total of the chunks before it. Rows of one key and instant are combined first, so a
@@ -104,6 +104,46 @@ def _sweep(df: DataFrame, key: str, order: str, width: int, values: dict[str, Co
     return df.join(state, [key, order])
 
 
+def _running(df: DataFrame, key: str, order: str, width: int, values: dict[str, Column],
+             distinct: dict[str, str]) -> DataFrame:
+    """The same sums for keys that fit one task: one shuffle on the key and work that is linear in its sorted rows.
+
+    Every row arrives at `order` and leaves just after `order + width`; a running sum over both kinds of moves is the
+    window, and only arrivals are kept. Rows without `order` see each other and never leave.
+    """
+    at, missing = F.col(order).cast("bigint"), F.col(order).isNull()
+    # Without this the first window below would spread the rows by key and value, and the next ones anew by key.
+    rows = df.repartition(key) if distinct else df
+    for name, column in distinct.items():
+        # A value is present from its first sighting until `width` after the last one of an unbroken run.
+        same = Window.partitionBy(key, column, missing).orderBy(order)
+        opens = F.when(missing, F.row_number().over(same) == 1).otherwise(
+            F.coalesce(F.col(order) - F.lag(order).over(same) > width, F.lit(True)))
+        closes = F.coalesce(F.lead(order).over(same) - F.col(order) > width, F.lit(True))
+        seen = F.col(column).isNotNull()
+        rows = rows.withColumns({f"_opens_{name}": (seen & opens).cast("bigint"),
+                                 f"_closes_{name}": (seen & closes).cast("bigint")})
+    arrive = F.struct(F.lit(1).alias("sign"), at.alias("at"))
+    leave = F.struct(F.lit(-1).alias("sign"), (at + F.lit(width + 1)).alias("at"))
+    moved = rows.withColumn("_move", F.explode(F.when(missing, F.array(arrive)).otherwise(F.array(arrive, leave))))
+    sign = F.col("_move.sign")
+    moves = {n: F.when(sign == 1, v).otherwise(-v) for n, v in values.items()}
+    # A window without any value has no sum: how many values are there travels along.
+    held = {n: f"_held_{n}" for n, v in values.items() if df.select(v).schema[0].nullable}
+    moves |= {held[n]: F.when(values[n].isNull(), 0).otherwise(sign) for n in held}
+    moves |= {n: F.when(sign == 1, F.col(f"_opens_{n}")).otherwise(-F.col(f"_closes_{n}")) for n in distinct}
+    kept = [c for c in df.columns if c not in values and c not in distinct]
+    line = moved.select(
+        key, sign.alias("_sign"), F.col("_move.at").alias("_at"),
+        *[F.when(sign == 1, F.col(c)).alias(c) for c in kept if c != key],
+        *[m.alias(f"_moved_{n}") for n, m in moves.items()])
+    along = Window.partitionBy(key, F.col("_at").isNull()).orderBy("_at").rangeBetween(_FIRST, 0)
+    state = line.withColumns({n: F.sum(f"_moved_{n}").over(along) for n in moves}).filter("_sign = 1")
+    sums = {n: F.when(F.col(held[n]) > 0, F.col(n)) if n in held else F.col(n) for n in values}
+    return state.select(*kept, *[s.cast(_CUBE).alias(n) for n, s in sums.items()],
+                        *[F.col(n).cast("bigint").alias(n) for n in distinct])
+
+
 def trailing(df: DataFrame, key: str, order: str, width: int, values: dict[str, Column],
              distinct: dict[str, str] | None = None, chunk: int = 86_400, **routing) -> DataFrame:
     """Add exact trailing sums and distinct counts over [order - width, order] within `key`.
@@ -113,15 +153,8 @@ def trailing(df: DataFrame, key: str, order: str, width: int, values: dict[str,
     `routing` goes to `skew.routed`.
     """
     distinct = distinct or {}
-    window = Window.partitionBy(key).orderBy(order).rangeBetween(-width, 0)
-
-    def plain(frame: DataFrame) -> DataFrame:
-        return frame.withColumns({
-            **{n: F.sum(v).over(window).cast(_CUBE) for n, v in values.items()},
-            **{n: count_distinct_over(F.col(c), window) for n, c in distinct.items()},
-        })
-
-    return routed(df, key, plain, lambda rows: _sweep(rows, key, order, width, values, distinct, chunk), order=order, **routing)
+    return routed(df, key, lambda rows: _running(rows, key, order, width, values, distinct),
+                  lambda rows: _sweep(rows, key, order, width, values, distinct, chunk), order=order, **routing)
 
 
 def _sessions_plain(df: DataFrame, key: str, order: str, gap: int) -> DataFrame:

@@ -47,17 +47,19 @@ def add_burst(df: DataFrame, **options) -> DataFrame:
 
 
 def card_testing(df: DataFrame) -> DataFrame:
-    """Micro-payments of at least three users from one address at one merchant in a five-minute window.
+    """Micro-payments that lie in any five minutes in which at least three users pay from one address at one merchant.
 
-    Users are counted per (address, merchant, window) by aggregation; matching payments are found by joining the
-    flagged windows back on the same keys.
+    A payment ends a burst if the five minutes up to it hold enough users; one trailing window over reversed time then
+    tells which payments have such an end within the next five minutes.
     """
-    small = df.filter(F.col("amount_eur") <= C.CARD_TEST_MAX).withColumn(
-        "_slot", F.floor(F.unix_timestamp("event_timestamp") / C.CARD_TEST_SECONDS))
-    keys = ["ip_address", "merchant_id", "_slot"]
-    flagged = small.groupBy(*keys).agg(F.count_distinct("user_id").alias("_users")).filter(
-        F.col("_users") >= C.CARD_TEST_USERS)
-    return small.join(flagged.select(*keys), keys, "left_semi").select("transaction_id")
+    small = df.filter(
+        (F.col("amount_eur") <= C.CARD_TEST_MAX) & F.col("ip_address").isNotNull() & F.col("merchant_id").isNotNull()
+    ).select("transaction_id", "user_id", F.concat_ws("\0", "ip_address", "merchant_id").alias("_spot"),
+             F.unix_timestamp("event_timestamp").alias("_second"))
+    ends = trailing(small, "_spot", "_second", C.CARD_TEST_SECONDS, {"_n": F.lit(1)}, {"_users": "user_id"})
+    marked = ends.withColumns({"_end": (F.col("_users") >= C.CARD_TEST_USERS).cast("bigint"), "_back": -F.col("_second")})
+    spanned = trailing(marked, "_spot", "_back", C.CARD_TEST_SECONDS, {"_ends": F.col("_end")})
+    return spanned.filter("_ends > 0").select("transaction_id")
 
 
 def conditions() -> dict[str, Column]:
@@ -82,7 +84,7 @@ def conditions() -> dict[str, Column]:
 def rules(enriched: DataFrame, **options) -> DataFrame:
     """(transaction_id, rule, score), one row per rule that fires.
 
-    Row rules are one pass: an array of the rules that hold, exploded. Only card testing needs an aggregate.
+    Row rules are one pass: an array of the rules that hold, exploded. Only card testing looks at other payments.
     `hot=[]` tells that no user is heavy, hence no user-address-device actor either.
     """
     bursts = add_burst(enriched, **options)

@@ -9,7 +9,7 @@ from bazaarlake import constants as C
 from bazaarlake import schemas
 from bazaarlake.functions import scalars as S
 from bazaarlake.functions.ranking import dedup_latest
-from bazaarlake.functions.skew import ALL, HOT_ROWS, hot_keys, is_hot, routed
+from bazaarlake.functions.skew import ALL, HOT_ROWS, cut, hot_keys, none_hot, routed
 from bazaarlake.functions.timeline import trailing
 
 DAY = 86_400
@@ -152,13 +152,13 @@ def features(df: DataFrame, hot: list | str) -> DataFrame:
     return first_transaction(velocity(out, 300, "velocity_count_5min", hot=hot), hot=hot)
 
 
-def enrich(df: DataFrame, hot: list | None = None, min_rows: int = HOT_ROWS) -> DataFrame:
+def enrich(df: DataFrame, hot: DataFrame | list | None = None, min_rows: int = HOT_ROWS) -> DataFrame:
     """All behavioural features of valid payments. Heavy users are searched once and split off once."""
     keys = hot_keys(df.select("user_id"), "user_id", min_rows) if hot is None else hot
-    if not keys:
+    if none_hot(keys):
         return features(df, [])
-    heavy = is_hot("user_id", keys)
-    return features(df.filter(~heavy), []).unionByName(features(df.filter(heavy), ALL))
+    light, heavy = cut(df, "user_id", keys)
+    return features(light, []).unionByName(features(heavy, ALL))
 
 
 def curated(df: DataFrame, loaded_at) -> DataFrame:
@@ -188,16 +188,22 @@ def build(bronze: DataFrame, loaded_at, **options) -> DataFrame:
     return curated(enrich(valid, **options), loaded_at)
 
 
-def refresh(history: DataFrame, new: DataFrame, **options) -> DataFrame:
+def refresh(history: DataFrame, new: DataFrame, withdrawn: DataFrame | None = None, **options) -> DataFrame:
     """Features of the new payments and of the older ones that they change: equal to a full rebuild on those rows.
 
     A payment at t changes the features of the same user's payments in [t, t + 30 days], which in turn read the 30
-    days before them. So only users with new rows are read, from 30 days before their first new payment; of what is
-    older only its existence matters, for the first-payment flag. Both inputs are valid, deduplicated payments
-    without features; the result is an upsert set by transaction_id.
+    days before them. A replaced version changes those of its own user and time as well, and so does a payment in
+    `withdrawn` (transaction_id), which is valid no more. So only the users of new and of replaced rows are read, from
+    30 days before the first of these; of what is older only its existence matters, for the first-payment flag. Both
+    inputs are valid, deduplicated payments without features; the result is an upsert set by transaction_id.
     """
-    starts = new.groupBy("user_id").agg(F.min("event_timestamp").alias("_from"))
-    touched = history.join(starts, "user_id").join(new.select("transaction_id"), "transaction_id", "left_anti")
+    ids = new.select("transaction_id")
+    if withdrawn is not None:
+        ids = ids.union(withdrawn.select("transaction_id")).distinct()
+    place = ["user_id", "event_timestamp"]
+    replaced = history.join(ids, "transaction_id", "left_semi").select(*place)
+    starts = new.select(*place).union(replaced).groupBy("user_id").agg(F.min("event_timestamp").alias("_from"))
+    touched = history.join(starts, "user_id").join(ids, "transaction_id", "left_anti")
     reach = F.col("event_timestamp") >= F.col("_from") - F.expr("INTERVAL 30 DAYS")
     featured = enrich(touched.filter(reach).drop("_from").unionByName(new, allowMissingColumns=True), **options)
     seen = touched.filter(~reach).groupBy("user_id").agg(F.lit(True).alias("_seen_before"))

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from bazaarlake.functions import scalars as S
 from bazaarlake.functions.ranking import add_ntiles, dedup_latest
-from bazaarlake.functions.skew import ALL, hot_keys
+from bazaarlake.functions.skew import ALL, hot_keys, none_hot
 from bazaarlake.operators import bi, crm, fraud, funnel, gold, kyc, logistics, ml, privacy, quality, sessions, tables
 from bazaarlake.operators import payments as P
 from bazaarlake.plans import bindings as B
@@ -105,7 +105,7 @@ def enriched_payments(spark, sf):
 
 def rule_hits(spark, sf):
     enriched, heavy = enriched_payments(spark, sf)
-    return enriched, fraud.rules(enriched, hot=None if heavy else [])
+    return enriched, fraud.rules(enriched, hot=[] if none_hot(heavy) else None)
 
 
 def scores(spark, sf):

@@ -19,23 +19,25 @@ def run_payments(spark: SparkSession, registry: Registry, run_date: str, as_of:
     """One ingestion day of payments: clean, keep latest, quarantine, refresh features, upsert.
 
     Features of older payments inside the 30-day reach of new ones are recomputed with them, so the result equals a
-    rebuild from all history.
+    rebuild from all history. A payment whose newest version is rejected leaves the curated tables.
     """
     day = of_day(registry.read(spark, "bronze.payments"), run_date)
     judged = payments.judge(payments.clean(payments.latest(day)))
-    valid, kept, rejected = tables.write_split(judged, registry.path("quarantine.payments"), run_date)
+    quarantine = registry.path("quarantine.payments")
+    valid, kept, rejected = tables.write_split(judged, quarantine, run_date)
+    withdrawn = spark.read.schema(judged.schema).parquet(f"{quarantine}/run_date={run_date}").select("transaction_id")
     base_path = registry.path("silver.payments") + "_base"
     history_exists = tables.exists(spark, base_path)
     base = valid.drop("reject_reason")
     if history_exists:
         history = spark.read.option("mergeSchema", "true").parquet(base_path)
-        featured = payments.refresh(history, base)
+        featured = payments.refresh(history, base, withdrawn)
     else:
         featured = payments.enrich(base)
     curated = payments.curated(featured.withColumn("reject_reason", F.lit(None).cast("string")).withColumn(
         "pii_anonymized_at", F.lit(as_of).cast("timestamp")), as_of)
-    tables.upsert(spark, curated, registry.path("silver.payments"), ["transaction_id"], "event_date", ["user_id"])
-    tables.upsert(spark, base, base_path, ["transaction_id"], "event_date", ["user_id"])
+    for rows, path in ((curated, registry.path("silver.payments")), (base, base_path)):
+        tables.upsert(spark, rows, path, ["transaction_id"], "event_date", ["user_id"], removed=withdrawn)
     return {"valid": kept, "rejected": rejected}
 
 

@@ -395,6 +395,10 @@ HITS = f"""{O.FEATURES}, wide AS (
     count(*) OVER b AS burst_count, count(DISTINCT merchant_id) OVER b AS burst_merchants
   FROM featured WINDOW w AS (PARTITION BY user_id ORDER BY sec RANGE BETWEEN 2592000 PRECEDING AND CURRENT ROW),
     b AS (PARTITION BY user_id, ip_address, device_fingerprint ORDER BY sec RANGE BETWEEN 60 PRECEDING AND CURRENT ROW)),
+micro AS (
+  SELECT transaction_id, ip_address, merchant_id, sec, count(DISTINCT user_id) OVER (
+    PARTITION BY ip_address, merchant_id ORDER BY sec RANGE BETWEEN 300 PRECEDING AND CURRENT ROW) AS users
+  FROM wide WHERE amount_eur <= 2.99 AND ip_address IS NOT NULL AND merchant_id IS NOT NULL),
 hits AS (
   SELECT transaction_id, 'adult_product_minor' AS rule FROM wide WHERE is_adult_product AND user_age < 18
   UNION ALL SELECT transaction_id, 'adult_product_kyc_bypass' FROM wide
@@ -407,9 +411,9 @@ hits AS (
   UNION ALL SELECT transaction_id, 'high_count_30d' FROM wide WHERE n30 > 10
   UNION ALL SELECT transaction_id, 'many_countries_30d' FROM wide WHERE countries > 3
   UNION ALL SELECT transaction_id, 'new_account_high_amount' FROM wide WHERE is_first_transaction AND amount_eur >= 199.99
-  UNION ALL SELECT transaction_id, 'card_testing' FROM wide WHERE amount_eur <= 2.99
-    AND (ip_address, merchant_id, sec // 300) IN (SELECT (ip_address, merchant_id, sec // 300) FROM wide
-      WHERE amount_eur <= 2.99 GROUP BY ip_address, merchant_id, sec // 300 HAVING count(DISTINCT user_id) >= 3))"""
+  UNION ALL SELECT DISTINCT a.transaction_id, 'card_testing' FROM micro a JOIN micro b
+    ON a.ip_address = b.ip_address AND a.merchant_id = b.merchant_id AND a.sec BETWEEN b.sec - 300 AND b.sec
+    WHERE b.users >= 3)"""
 WEIGHT = "CAST(CASE rule " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in W.items()) + " END AS DOUBLE)"
 SCORES = f"""{HITS}, rule_scores AS (
   SELECT transaction_id, count(*) AS rules_hit, least(1.0, {rounded(f'max({WEIGHT}) + 0.05 * (count(*) - 1)')})

@@ -93,8 +93,11 @@ def test_sessions_same_on_both_routes(spark, rows, chunk):
 
 def test_hot_keys_finds_the_heavy_third(spark):
     df = spark.createDataFrame([(1,)] * 40 + [(i,) for i in range(2, 60)] + [(None,)] * 50, "u int")
-    assert skew.hot_keys(df, "u", min_rows=10) == [1]
-    assert skew.hot_keys(spark.range(100).select(F.lit(1).alias("u")), "u", min_rows=10) == [1]
+    assert [tuple(r) for r in skew.hot_keys(df, "u", min_rows=10).collect()] == [(1,)]
+    found = skew.hot_keys(spark.range(100).select(F.lit(1).alias("u")), "u", min_rows=10)
+    assert [tuple(r) for r in found.collect()] == [(1,)]
+    light, heavy = skew.cut(spark.createDataFrame([(1, 1), (None, 2), (3, 3)], "u int, v int"), "u", found)
+    assert sorted(r["v"] for r in light.collect()) == [2, 3] and [r["v"] for r in heavy.collect()] == [1]
 
 
 @pytest.mark.parametrize("hot", [["a"], skew.ALL])

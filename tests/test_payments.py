@@ -97,6 +97,37 @@ def test_incremental_equals_full_rebuild(spark, rows, arriving):
     assert merged == full
 
 
+def test_corrections_equal_full_rebuild(spark):
+    """Payments that move to another time or user, or become invalid, leave no trace in the windows they were in."""
+    df = many(spark)
+    moved = df.filter("transaction_id IN ('t0', 't1', 't7')").withColumn(
+        "event_timestamp", F.expr("event_timestamp + INTERVAL 20 DAYS"))
+    given = df.filter("transaction_id IN ('t3', 't8')").withColumn("user_id", F.lit("u4"))
+    new = moved.unionByName(given)
+    withdrawn = spark.createDataFrame([("t6",), ("t12",), ("unknown",)], "transaction_id string")
+    rest = df.filter("transaction_id NOT IN ('t0', 't1', 't7', 't3', 't8', 't6', 't12')")
+    full = {r["transaction_id"]: tuple(r) for r in payments.enrich(rest.unionByName(new)).select(*FEATURES).collect()}
+    merged = {r["transaction_id"]: tuple(r) for r in payments.enrich(df).select(*FEATURES).collect()}
+    for r in payments.refresh(df, new, withdrawn).select(*FEATURES).collect():
+        merged[r["transaction_id"]] = tuple(r)
+    for gone in ("t6", "t12"):
+        del merged[gone]
+    assert merged == full
+
+
+def test_card_testing_over_any_border(spark):
+    """Four users within 20 seconds around second 300 of the hour are a burst; slow or lonely payments are not."""
+    def paid(user, at, **more):
+        return {"user_id": user, "amount": 1.5, "ip_address": "45.33.32.9", "merchant_id": "M",
+                "timestamp": f"2024-01-11T{at}Z", **more}
+
+    df = payments.split(payments.clean(bronze(
+        spark, paid("a", "10:04:50"), paid("b", "10:04:55"), paid("c", "10:05:05"), paid("d", "10:05:10"),
+        paid("a", "12:00:00"), paid("b", "12:04:00"), paid("c", "12:08:00"),
+        paid("e", "10:05:00", merchant_id="N"), paid("f", "10:05:00", merchant_id=None))))[0]
+    assert sorted(r[0] for r in fraud.card_testing(df).collect()) == ["t0", "t1", "t2", "t3"]
+
+
 def test_curated_contract(spark):
     out = payments.build(bronze(spark, {}, {"fraud_label_ground_truth": True}), "2024-02-01")
     assert out.columns == schemas.SILVER_PAYMENTS_COLUMNS + schemas.SILVER_PAYMENTS_EXTRA

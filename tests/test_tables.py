@@ -45,6 +45,18 @@ def test_upsert(spark, tmp_path, rows):
         tables.upsert(spark, spark.createDataFrame([("a", 1, "d1"), ("a", 2, "d1")], ddl), path, ["k"], "day")
 
 
+def test_upsert_removes(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    old = spark.createDataFrame([(1, "a", "x"), (2, "b", "x"), (3, "c", "y")], "id int, v string, p string")
+    tables.upsert(spark, old, path, ["id"], "p")
+    new = spark.createDataFrame([(2, "B", "z")], old.schema)
+    gone = spark.createDataFrame([(3,), (9,), (None,)], "id int")
+    tables.upsert(spark, new, path, ["id"], "p", removed=gone)
+    assert rows(spark.read.parquet(path), "id", "v", "p") == [(1, "a", "x"), (2, "B", "z")]
+    tables.upsert(spark, new.limit(0), path, ["id"], "p", removed=new)
+    assert rows(spark.read.parquet(path), "id", "v", "p") == [(1, "a", "x")]
+
+
 def test_upsert_adds_columns(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     tables.upsert(spark, spark.createDataFrame([("a", "d1"), ("b", "d2")], "k string, day string"), path, ["k"], "day")
