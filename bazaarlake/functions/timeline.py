@@ -22,11 +22,6 @@ _FIRST = Window.unboundedPreceding
 _CUBE = "decimal(38,0)"
 
 
-def count_distinct_over(column: Column, window) -> Column:
-    """COUNT(DISTINCT column) OVER (window), which Spark does not offer directly."""
-    return F.size(F.collect_set(column).over(window)).cast("bigint")
-
-
 def _chunked(df: DataFrame, order: str, chunk: int) -> DataFrame:
     return df.withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk)))
 
