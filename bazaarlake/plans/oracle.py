@@ -621,6 +621,11 @@ FROM asked LEFT JOIN crm ON asked_id = user_id"""
 ORACLES["class_balance"] = f"""WITH {LABELLED}
 SELECT count(*) FILTER (NOT is_fraud) AS negatives, count(*) FILTER (is_fraud) AS positives,
   {ratio('count(*) FILTER (NOT is_fraud)', 'count(*) FILTER (is_fraud)')} AS positive_weight FROM labelled"""
+ORACLES["ml_split"] = f"""WITH {LABELLED}, coded AS (
+  SELECT CAST(is_fraud AS DOUBLE) AS label, md5('42|' || CAST(is_fraud AS INTEGER) || '|' || transaction_id) AS digest
+  FROM labelled)
+SELECT label, CAST('0x' || substr(digest, 1, 8) AS BIGINT) % 100 < 20 AS is_test, count(*) AS payments
+FROM coded GROUP BY ALL"""
 ORACLES["ml_time_split"] = f"""WITH {LABELLED}, parts AS (
   SELECT date_diff('day', feature_date, DATE '2024-03-01') AS age FROM labelled)
 SELECT CASE WHEN age < 0 THEN NULL WHEN age < 7 THEN 'validation' WHEN age < 37 THEN 'train' END AS part,
