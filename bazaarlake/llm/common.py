@@ -79,23 +79,26 @@ def positions(df: DataFrame, order: list[Column], keys: list[str], name: str, at
         *[F.col(f"l.{c}") for c in df.columns], (F.col(f"l.{at}") + F.col("r._base")).alias(at))
 
 
-def components(links: DataFrame, rounds: int = 64) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(node, component) of the nodes in `links` (a, b); a component is named by its smallest node.
 
-    Every round takes the smallest label among neighbours and then the label's own label, so the number of rounds
-    grows with the logarithm of the longest path; each round is stored. Labels never leave Spark.
+    Every round each node takes the smallest label among its neighbours, hands it to the node that its own label names,
+    so that a whole region moves at once, and then takes the label of its label. Rounds go on until no label moves,
+    which is right for any links; on paths in any order of ids they grew with the logarithm of the length. Each round
+    is stored. Labels never leave Spark.
     """
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both = stored(both, "links")
     labels = stored(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")), "labels")
-    for _ in range(rounds):
+    while True:
         near = both.join(labels.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
-        lower = labels.join(near, "a").select("a", F.least("label", "near").alias("next"), "label")
-        own = labels.select(F.col("a").alias("next"), F.col("label").alias("jump"))
-        moved = stored(lower.join(own, "next", "left").select(
-            "a", F.least("next", F.coalesce("jump", "next")).alias("label"),
-            (F.least("next", F.coalesce("jump", "next")) < F.col("label")).alias("moved")), "labels")
+        lower = stored(labels.join(near, "a"), "near")
+        hooks = lower.groupBy(F.col("label").alias("a")).agg(F.min("near").alias("hook"))
+        own = labels.join(hooks, "a", "left").select(
+            F.col("a").alias("next"), F.least("label", F.coalesce("hook", "label")).alias("jump"))
+        next_label = lower.select("a", F.least("label", "near").alias("next"), "label")
+        moved = stored(next_label.join(own, "next").select(
+            "a", F.least("next", "jump").alias("label"), (F.least("next", "jump") < F.col("label")).alias("moved")), "labels")
         labels = moved.select("a", "label")
         if moved.filter("moved").isEmpty():
             return labels.select(F.col("a").alias("node"), F.col("label").alias("component"))
-    raise RuntimeError(f"components did not settle in {rounds} rounds")

@@ -239,6 +239,16 @@ def test_components_of_paths_and_stars(spark):
     assert {got[k] for k in range(41)} == {0} and {got[k] for k in (100, 101, 102)} == {100}
 
 
+@pytest.mark.parametrize("order", ["shuffled", "smallest at the far end"])
+def test_components_of_long_chains(spark, order):
+    nodes = [*range(1, 300), 0]
+    if order == "shuffled":
+        random.Random(8).shuffle(nodes)
+    edges = [*zip(nodes, nodes[1:]), (1000, 1001)]
+    got = dict(map(tuple, common.components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    assert got == {**dict.fromkeys(nodes, 0), 1000: 1000, 1001: 1000}
+
+
 # WARC revisits.
 
 def test_revisits(spark):
