@@ -527,12 +527,7 @@ def country_mismatch(spark, sf):
 
 @query
 def payment_without_session(spark, sf):
-    purchases = B.table(spark, sf, "events").filter(F.col("event_type") == "purchase").select(
-        F.col("event_id").cast("string").alias("transaction_id"), "user_id",
-        F.col("ts").cast("timestamp").alias("event_timestamp"))
-    visits = B.table(spark, sf, "events").filter(F.col("event_type") == "view").select(
-        "user_id", F.col("ts").cast("timestamp").alias("session_start"))
-    return fraud.without_session(purchases, visits, 21_600)
+    return fraud.without_session(valid(spark, sf), silver_sessions_(spark, sf), 21_600)
 
 
 @query
@@ -727,8 +722,8 @@ def kyc_updates(spark, sf):
 
 @query
 def kyc_status_lookup(spark, sf):
-    """Every ordering user of the finished orders asks for their status."""
-    asking = B.table(spark, sf, "orders").filter("o_orderstatus = 'F'").select(
+    """Every ordering user asks for their status."""
+    asking = B.table(spark, sf, "orders").select(
         F.when(F.col("o_totalprice") < 5_000, "USR-UNKNOWN").otherwise(B.user("o_custkey")).alias("user_id"))
     return kyc.status_lookup(asking, silver_crm(spark, sf))
 
