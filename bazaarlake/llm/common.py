@@ -5,7 +5,11 @@ from __future__ import annotations
 import pickle
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -53,6 +57,20 @@ def loaded(shared: Broadcast):
     return shared._made
 
 
+def pieces(batches: Iterator[pa.RecordBatch], limit: int, *texts: str) -> Iterator[pa.RecordBatch]:
+    """The batches in slices whose text columns hold about `limit` bytes (one row at least), without copying."""
+    for batch in batches:
+        size = np.zeros(batch.num_rows, np.int64)
+        for name in texts:
+            size += pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy().astype(np.int64)
+        ends, start = np.cumsum(size), 0
+        while start < batch.num_rows:
+            held = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, held + limit, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def lower_ascii(text: Column) -> Column:
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     return F.translate(text, upper, upper.lower())

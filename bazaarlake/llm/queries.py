@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 
 from bazaarlake.llm import (
-    bpe, decontaminate, jaccard, language, neighbours, sharding, token_counts, toxicity, url_filter, warc,
+    alignment, bpe, decontaminate, jaccard, language, neighbours, periodic, sharding, simhash, token_counts, toxicity,
+    url_filter, warc,
 )
 from bazaarlake.llm.common import table
 
@@ -53,8 +54,22 @@ def op10_nearest_neighbours(spark, sf):
     return neighbours.nearest(vectors.filter("vec_id % 100 = 0"), vectors)
 
 
+def op11_tokenizer_alignment(spark, sf):
+    pair = alignment.Pair.read(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"),
+                               public_tokenizers.PATTERN)
+    return alignment.score(table(spark, sf, "documents"), pair)
+
+
+def op12_simhash(spark, sf):
+    return simhash.cluster(table(spark, sf, "documents"))
+
+
+def op13_periodic_runs(spark, sf):
+    return periodic.report(table(spark, sf, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_byte_bpe, op2_token_counts, op3_decontamination, op4_toxicity, op5_ngram_jaccard, op6_warc_revisits, op7_sharding, op8_url_filter,
-    op9_language_id, op10_nearest_neighbours)}
+    op9_language_id, op10_nearest_neighbours, op11_tokenizer_alignment, op12_simhash, op13_periodic_runs)}
 ORACLES = {"op6_warc_revisits": warc.ORACLE, "op8_url_filter": url_filter.ORACLE,
            "op10_nearest_neighbours": neighbours.ORACLE}
