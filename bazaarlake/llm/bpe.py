@@ -22,9 +22,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlake.llm.common import loaded, share
+from bazaarlake.llm.common import loaded, pieces, share, texts_of, with_text
 
-CACHED_PRETOKENS = 300_000
+CACHED_PRETOKENS = 100_000
+SLICE_BYTES = 4_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -149,6 +150,9 @@ class Coder:
             known.clear()
         return ids
 
+    def decode(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.token.__getitem__, ids))
+
 
 def _batches(column: pa.ChunkedArray | pa.Array) -> Iterator[str]:
     for value in column:
@@ -156,33 +160,39 @@ def _batches(column: pa.ChunkedArray | pa.Array) -> Iterator[str]:
 
 
 def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", ids: str = "ids",
-           digest: str = "ids_sha256") -> DataFrame:
+           digest: str = "ids_sha256", decoded: str | None = None) -> DataFrame:
     """Add `ids`, the token ids of `text`, and `digest`, the SHA-256 of the decimal ids joined by one space.
 
     A missing or empty text has no ids; its digest is that of the empty string. Every byte must be a token of `ranks`,
-    so every text can be encoded. Other columns pass through; `ids` and `digest` replace columns of these names.
+    so every text can be encoded. With `decoded` the ids are decoded again in the same step, into a column of that name
+    (a second step would start a second Python worker for each task). Other columns pass through; the added columns
+    replace columns of their names.
     """
     spark = df.sparkSession
     shared = share(spark, Coder(ranks, pattern))
-    rest = [c for c in df.columns if c not in (ids, digest)]
-    packed = df.select(F.col(text).alias("_text"), F.struct(*rest).alias("_rest"))
+    added = [ids, digest, *([decoded] if decoded else [])]
+    rest = [c for c in df.columns if c not in added]
+    packed = with_text(df, rest, text)
 
     def run(batches):
         coder = loaded(shared)
-        for batch in batches:
-            digests, sizes, flat = [], [0], []
-            for value in _batches(batch.column(0)):
+        for batch in pieces(texts_of(batches, text), SLICE_BYTES, "text"):
+            digests, sizes, flat, raw = [], [0], [], []
+            for value in _batches(batch.column(1)):
                 own = coder.encode(value)
+                if decoded:
+                    raw.append(coder.decode(own))
                 digests.append(hashlib.sha256(" ".join(map(coder.text.__getitem__, own)).encode()).hexdigest())
                 sizes.append(sizes[-1] + len(own))
                 flat.append(np.array(own, dtype=np.int32))
             values = np.concatenate(flat) if flat else np.empty(0, np.int32)
             lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(values))
-            yield pa.RecordBatch.from_arrays([batch.column(1), lists, pa.array(digests, pa.string())],
-                                             ["_rest", ids, digest])
+            extra = [pa.array(raw, pa.binary())] if decoded else []
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(digests, pa.string()), *extra], ["_rest", *added])
 
-    schema = packed.select("_rest", F.expr("cast(null as array<int>)").alias(ids), F.lit("").alias(digest)).schema
-    return packed.mapInArrow(run, schema).select("_rest.*", ids, digest)
+    schema = packed.select("_rest", F.expr("cast(null as array<int>)").alias(ids), F.lit("").alias(digest),
+                           *([F.expr("cast('' as binary)").alias(decoded)] if decoded else [])).schema
+    return packed.mapInArrow(run, schema).select(*[F.col("_rest")[c].alias(c) for c in rest], *added)
 
 
 def decode(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -207,7 +217,6 @@ def decode(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: str =
 
 def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document: encoded, then decoded from the ids."""
-    encoded = encode(docs.select("doc_id", "text"), ranks, pattern).select("doc_id", "ids", "ids_sha256")
-    return decode(encoded, ranks).select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids_sha256",
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+    encoded = encode(docs.select("doc_id", "text"), ranks, pattern, decoded="decoded")
+    return encoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids_sha256",
+                          F.sha2("decoded", 256).alias("decoded_sha256"))

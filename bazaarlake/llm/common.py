@@ -51,12 +51,27 @@ def share(spark: SparkSession, model: object) -> Broadcast:
 
 
 def loaded(shared: Broadcast):
-    """What `share` was given, rebuilt once per Python worker."""
+    """What `share` was given, rebuilt once per Python worker; the pickled form is not kept beside it."""
     if getattr(shared, "_made", None) is None:
         shared._made = pickle.loads(shared.value)
+        shared.__dict__.pop("_value", None)
     return shared._made
 
 
+def with_text(df: DataFrame, columns: list[str], text: str) -> DataFrame:
+    """`columns` of `df` as one struct `_rest`, which also holds the text, once: as itself or as `_text_of_row`."""
+    own = [F.col(text).alias("_text_of_row")] if text not in columns else []
+    return df.select(F.struct(*columns, *own).alias("_rest"))
+
+
+def texts_of(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+    """Batches of `with_text` with the text beside the struct, sharing its memory."""
+    for batch in batches:
+        rest = batch.column(0)
+        inside = {rest.type.field(k).name: k for k in range(rest.type.num_fields)}
+        yield pa.RecordBatch.from_arrays([rest, rest.field(inside.get("_text_of_row", inside.get(text)))], ["_rest", "text"])
+
+
 def pieces(batches: Iterator[pa.RecordBatch], limit: int, *texts: str) -> Iterator[pa.RecordBatch]:
     """The batches in slices whose text columns hold about `limit` bytes (one row at least), without copying."""
     for batch in batches:

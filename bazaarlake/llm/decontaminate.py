@@ -20,10 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlake.llm.common import loaded, share, stored
+from bazaarlake.llm.common import loaded, pieces, share, stored
 
 WINDOW = 10
 BLOCK_BYTES = 1_000_000
+SLICE_BYTES = 4_000_000
 # Digits and letters stay, A-Z in lower case; other ASCII separates words; bytes from 0x80 belong to words.
 _WORDS = bytes(b if chr(b) in "0123456789abcdefghijklmnopqrstuvwxyz" or b >= 0x80 else b + 32 if 65 <= b <= 90 else 32
                for b in range(256))
@@ -96,13 +97,12 @@ def _joined(hits: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
     return low, high
 
 
-def blocks(benchmark: DataFrame, item: str, text: str, limit: int) -> list[list[tuple[str, str]]]:
-    """The items in blocks of about `limit` bytes, each fetched by itself. One item with null text has no windows."""
-    clean = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text")).dropna()
+def blocks(benchmark: DataFrame, item: str, text: str, limit: int) -> tuple[DataFrame, int]:
+    """The items with text and the block of each, in blocks of about `limit` bytes, and the number of blocks."""
+    clean = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text")).filter("text is not null")
     size = clean.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = max(1, -(-size // limit))
-    key = F.pmod(F.xxhash64("item", "text"), F.lit(count))
-    return [[tuple(r) for r in clean.filter(key == k).distinct().collect()] for k in range(count)]
+    return clean.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(count))), count
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
@@ -110,12 +110,13 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
     """Add `contamination`: n_words, n_hit, items (sorted as strings) and spans (character offsets in the text).
 
     A window is `width` consecutive words of an item; an item of fewer words, but not none, is one window. A missing
-    text has no words and no hit; an empty benchmark hits nothing. Repeated items count once. Other columns of `docs`
+    text has no words and no hit; an empty benchmark hits nothing. Repeated items count once. An item without id hits words
+    like any other and is not named. The driver holds one block of items at a time. Other columns of `docs`
     pass through; a column named `contamination` is replaced.
     """
     rest = [c for c in docs.columns if c != "contamination"]
     rows = docs.select(F.col(text).alias("_text"), F.lit(None).cast(_HITS).alias("_hits"), F.struct(*rest).alias("_rest"))
-    all_blocks = blocks(benchmark, item, item_text, block_bytes)
+    dealt, count = blocks(benchmark, item, item_text, block_bytes)
 
     def scanned(frame: DataFrame, items: list[tuple[str, str]], last: bool) -> DataFrame:
         shared = share(docs.sparkSession, Windows(items, width))
@@ -129,7 +130,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
 
         def run(batches):
             windows = loaded(shared)
-            for batch in batches:
+            for batch in pieces(batches, SLICE_BYTES, "_text"):
                 out = []
                 for value, before in zip(batch.column(0), batch.column(1), strict=True):
                     value = value.as_py()
@@ -141,7 +142,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
                         continue
                     low, high = _joined([h[:2] for h in hits])
                     out.append({"n_words": len(words), "n_hit": sum(high) - sum(low),
-                                "items": sorted({h[2] for h in hits}),
+                                "items": sorted({h[2] for h in hits} - {None}),
                                 "spans": _spans(value, low, high) if low else []})
                 made = pa.array(out, arrow)
                 if last:
@@ -153,8 +154,9 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
             return stored(frame.mapInArrow(run, schema), "scan")
         return frame.mapInArrow(run, frame.select("_rest").schema.add("contamination", kind))
 
-    for k, items in enumerate(all_blocks):
-        rows = scanned(rows, items, k == len(all_blocks) - 1)
+    for k in range(count):
+        items = [tuple(r) for r in dealt.filter(F.col("block") == k).select("item", "text").distinct().collect()]
+        rows = scanned(rows, items, k == count - 1)
     return rows.select("_rest.*", "contamination")
 
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlake.llm.common import pieces
+from bazaarlake.llm.common import pieces, texts_of, with_text
 
 LEAST, TIMES = 6, 4
 SLICE_BYTES = 2_000_000
@@ -219,14 +219,11 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
     Other columns pass through; columns with the three names are replaced. An empty table gives an empty result.
     """
     rest = [c for c in docs.columns if c not in ("n_words", "runs", "collapsed")]
-    own = docs.withColumn("_text", F.col(text)) if text not in rest else docs
-    inside = text if text in rest else "_text"
-    packed = own.select(F.struct(*rest, *([] if text in rest else ["_text"])).alias("_rest"))
+    packed = with_text(docs, rest, text)
     kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())]))
 
     def run(batches):
-        rows = (pa.RecordBatch.from_arrays([b.column(0), b.column(0).field(inside)], ["_rest", "text"]) for b in batches)
-        for batch in pieces(rows, SLICE_BYTES, "text"):
+        for batch in pieces(texts_of(batches, text), SLICE_BYTES, "text"):
             texts = [(t.as_py() or "").encode().split() for t in batch.column("text")]
             found = runs_of(texts)
             sizes = np.concatenate([[0], np.cumsum([len(r) for r in found])])
@@ -240,7 +237,7 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
 
     schema = packed.select("_rest", F.lit(0).cast("bigint").alias("n_words"), F.expr(f"cast(null as {RUNS})").alias("runs"),
                            F.lit("").alias("collapsed")).schema
-    return packed.mapInArrow(run, schema).select(*[f"_rest.{c}" for c in rest], "n_words", "runs", "collapsed")
+    return packed.mapInArrow(run, schema).select(*[F.col("_rest")[c].alias(c) for c in rest], "n_words", "runs", "collapsed")
 
 
 def strongest(runs: Column) -> Column:

@@ -21,13 +21,14 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlake.llm.common import loaded, share, stored
+from bazaarlake.llm.common import loaded, pieces, share, stored, texts_of, with_text
 
 SAMPLE_ROWS = 12_000
 FOLDS = 3
 BITS = 18
 BEGINNING = 5
-CACHED_WORDS = 200_000
+CACHED_WORDS = 100_000
+SLICE_BYTES = 4_000_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -84,13 +85,13 @@ class Linear:
 
 
 class Chain:
-    """Linear models in the order of their categories, and the threshold of the first category."""
+    """Linear models in the order of their categories, and the threshold of the last one, which decides."""
 
     def __init__(self, texts: list[set[str]], labels: np.ndarray, folds: int = FOLDS):
         known = {w: features_of(w) for w in set().union(*texts)}
         columns = np.array([known[w] for ws in texts for w in sorted(ws)], np.int64).ravel()
         rows = np.repeat(np.arange(len(texts)), [2 * len(ws) for ws in texts])
-        fold = np.arange(len(texts)) % folds
+        fold = np.array([xxhash.xxh32_intdigest(" ".join(sorted(ws))) % folds for ws in texts], np.int64)  # copies together
         before = np.zeros((len(texts), 0))
         self.models = []
         for target in labels.T.astype(np.float64):
@@ -105,7 +106,7 @@ class Chain:
                 unseen[held] = model.chance(sums, before)[held]
             self.models.append(Linear().fit(rows, columns, before, target))
             before = np.column_stack([before, unseen])
-        self.threshold = self._best(before[:, 0], labels[:, 0]) if len(texts) else 1.0
+        self.threshold = self._best(before[:, -1], labels[:, -1]) if len(texts) else 1.0
         self.weights = np.column_stack([m.weights for m in self.models]).astype(np.float32)
         for model in self.models:
             del model.weights
@@ -154,7 +155,8 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id_
           text: str = "text") -> Chain:
     """A chain over `categories` (name to a condition on `labels`), from the labelled rows of `docs`.
 
-    The first category decides. Texts that are missing teach nothing.
+    The last category decides, with what the models before it say. Missing texts teach nothing; rows that share an id
+    teach once.
     """
     picked = stored(sampled_ids(labels, id_column, categories), "sample")
     rows = docs.select(id_column, F.col(text).alias("_text")).filter(F.col("_text").isNotNull()).join(
@@ -179,12 +181,13 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id_
         chain = Chain([set(w.split("\n")) - {""} for w in table["words"].to_pylist()], labelled)
         return pa.table({"chain": pa.array([cloudpickle.dumps(chain)], pa.binary())})
 
-    fitted = distinct.groupBy(F.lit("all").alias("_all")).applyInArrow(fit, "chain binary").collect()  # the sample is one bounded group
+    once = distinct.groupBy("_key").agg(F.min(F.struct("words", *names)).alias("_row")).select("_key", "_row.*")
+    fitted = once.groupBy(F.lit("all").alias("_all")).applyInArrow(fit, "chain binary").collect()  # the sample is one bounded group
     return pickle.loads(fitted[0][0]) if fitted else Chain([], np.zeros((0, len(names)), bool))
 
 
 def score(docs: DataFrame, chain: Chain, categories: list[str], text: str = "text", decision: str = "toxic") -> DataFrame:
-    """Add a probability `p_<category>` per category and `decision`, whether the first reaches the threshold.
+    """Add a probability `p_<category>` per category and `decision`, whether the last reaches the threshold.
 
     A missing or empty text has no words: its probability 0 and it is not toxic. Without labelled rows nothing is
     toxic. Other columns pass through; columns with the added names are replaced.
@@ -192,27 +195,27 @@ def score(docs: DataFrame, chain: Chain, categories: list[str], text: str = "tex
     shared = share(docs.sparkSession, chain)
     added = [f"p_{c}" for c in categories]
     rest = [c for c in docs.columns if c not in (*added, decision)]
-    packed = docs.select(F.col(text).alias("_text"), F.struct(*rest).alias("_rest"))
+    packed = with_text(docs, rest, text)
 
     def run(batches):
         made = loaded(shared)
-        for batch in batches:
-            texts = [t or "" for t in batch.column(0).to_pylist()]
+        for batch in pieces(texts_of(batches, text), SLICE_BYTES, "text"):
+            texts = [t or "" for t in batch.column("text").to_pylist()]
             chances = made.predict(texts)
             chances[[_WORD.search(t) is None for t in texts]] = 0.0
             chances = np.round(chances, 6)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), *[pa.array(c) for c in chances.T], pa.array(chances[:, 0] >= made.threshold)],
+                [batch.column(0), *[pa.array(c) for c in chances.T], pa.array(chances[:, -1] >= made.threshold)],
                 ["_rest", *added, decision])
 
     schema = packed.select("_rest", *[F.lit(0.0).alias(a) for a in added], F.lit(True).alias(decision)).schema
-    return packed.mapInArrow(run, schema).select("_rest.*", *added, decision)
+    return packed.mapInArrow(run, schema).select(*[F.col("_rest")[c].alias(c) for c in rest], *added, decision)
 
 
 def categories() -> dict[str, Column]:
-    """Toxic at all, toxic in a text of low quality, toxic in an otherwise good text."""
+    """Toxic in a text of low quality, toxic in an otherwise good text, and toxic at all, which comes last and decides."""
     toxic, good = F.col("toxic") == 1, F.col("quality") == 1
-    return {"toxic": toxic, "toxic_low": toxic & ~good, "toxic_good": toxic & good}
+    return {"toxic_low": toxic & ~good, "toxic_good": toxic & good, "toxic": toxic}
 
 
 def judge_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -131,8 +131,71 @@ def test_decontamination_equals_brute_force(spark, block):
     assert decontaminate.report(docs_of(spark, []), bench).count() == 0
 
 
+def test_items_without_id_and_repeated_documents(spark):
+    bench = spark.createDataFrame([(None, "nameless item text"), ("b", None), ("c", "other words")], "item_id string, text string")
+    docs = docs_of(spark, ["a nameless item text here", "other words and nameless item text", "clean", None])
+    got = sorted(tuple(r)[:4] for r in decontaminate.report(docs.union(docs), bench).collect())
+    assert got == sorted(2 * [(0, 5, 3, 0), (1, 6, 5, 1), (2, 1, 0, 0), (3, 0, 0, 0)])
+
+
 # Toxicity.
 
+def chain_by_force(texts, labels, asked, folds=3):
+    """A chain of plain dense models with the same folds, features and steps, one row at a time."""
+    names = sorted({c for ws in texts for w in ws for c in toxicity.features_of(w)})
+    place = {c: k for k, c in enumerate(names)}
+    size = 1 << toxicity.BITS
+
+    def flat(ws):
+        return [c for w in sorted(ws) for c in toxicity.features_of(w)]
+
+    before, ahead = [[] for _ in texts], [[] for _ in asked]
+    fold = [toxicity.xxhash.xxh32_intdigest(" ".join(sorted(ws))) % folds for ws in texts]
+    for target in labels.T:
+        def fitted(keep):
+            rows = [r for k, i in enumerate(keep) for r in [k] * len(flat(texts[i]))]
+            columns = [c for i in keep for c in flat(texts[i])]
+            return toxicity.Linear().fit(np.array(rows), np.array(columns), np.array([before[i] for i in keep]).reshape(len(keep), -1),
+                                         target[keep].astype(float))
+
+        def chance(model, ws, dense):
+            z = sum(model.weights[c] for c in flat(ws)) + sum(a * b for a, b in zip(model.dense, dense)) + model.bias
+            return 1 / (1 + math.exp(-max(-30, min(30, z))))
+
+        folded = [fitted([i for i in range(len(texts)) if fold[i] != f]) for f in range(folds)]
+        whole = fitted(list(range(len(texts))))
+        unseen = [chance(folded[fold[i]], texts[i], before[i]) for i in range(len(texts))]
+        shown = [chance(whole, ws, dense) for ws, dense in zip(asked, ahead)]
+        before, ahead = [[*b, u] for b, u in zip(before, unseen)], [[*b, s] for b, s in zip(ahead, shown)]
+    return np.array(ahead), len(place) <= size
+
+
+def test_chain_equals_plain_chain(monkeypatch):
+    rng = random.Random(8)
+    texts = [{f"w{rng.randint(0, 30)}" for _ in range(8)} | ({"vile"} if k % 3 == 0 else set()) for k in range(150)]
+    texts += texts[:20]  # copies share a fold
+    labels = np.array([[("vile" in t) and "w1" in t, ("vile" in t) and "w1" not in t, "vile" in t] for t in texts])
+    asked = [{"vile", "w3"}, {"w1", "w2"}, {"vile", "w1"}, {"other"}]
+    want, _ = chain_by_force(texts, labels, asked)
+    chain = toxicity.Chain(texts, labels)
+    by_text = {" ".join(sorted(a)): a for a in asked}
+    monkeypatch.setattr(toxicity, "words_of", by_text.__getitem__)
+    got = chain.predict(list(by_text))
+    assert np.allclose(got, want, atol=1e-4)
+    assert len(chain.models[-1].dense) == 2 and (chain.models[-1].dense != 0).any()
+
+
+def test_toxicity_of_repeated_ids_long_texts_and_clashing_columns(spark):
+    rows = [(k % 60, f"word{k % 7} common {'vile' if k % 4 == 0 else 'fine'}", "p") for k in range(240)]
+    rows.append((900, "vile " + "common " * 200_000, "p"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, p_toxic string")
+    marks = spark.createDataFrame([(k, k % 2, int(k % 4 == 0)) for k in range(60)] * 2, "doc_id long, quality int, toxic int")
+    chain = toxicity.train(df, marks, toxicity.categories())
+    got = toxicity.score(df, chain, list(toxicity.categories())).collect()
+    assert len(got) == len(rows) and all(isinstance(r["p_toxic"], float) for r in got)
+    assert {r["doc_id"] for r in got if r["toxic"]} == {k for k in range(60) if k % 4 == 0} | {900}
+
+
 def test_toxicity_learns_and_handles_edges(spark):
     rng = random.Random(5)
     rows, labels = [], []
@@ -383,15 +446,42 @@ def longest_match_phrases(text, sample):
     return phrases
 
 
-def test_automaton_gives_longest_matches():
-    rng = random.Random(4)
-    sample = "".join(rng.choice("abc ") for _ in range(400))
-    parser = language.Parser({"x": [sample]})
-    texts = ["".join(rng.choice("abc ") for _ in range(rng.randint(1, 120))) for _ in range(40)]
-    codes = [parser.alphabet.codes(t) for t in texts]
-    own = bytes(parser.alphabet.codes(sample)).decode("latin-1")
-    want = [longest_match_phrases(bytes(c).decode("latin-1"), own) for c in codes]
-    assert parser.phrases(codes)[:, 0].tolist() == want
+def letters_only(text):
+    return "".join(c if c.isalpha() else " " for c in re.sub(r"[^\W\d_]", lambda m: m[0].lower(), text))
+
+
+@pytest.mark.parametrize("segment", [7, 100, 1024])
+def test_phrases_are_those_of_one_greedy_parse(monkeypatch, segment):
+    monkeypatch.setattr(language, "SEGMENT", segment)
+    monkeypatch.setattr(language, "CHECKS", 0)
+    rng = random.Random(segment)
+    samples = {"x": ["".join(rng.choice("abc ") for _ in range(400))], "y": ["aaaaaaa" * 90], "z": ["привет мир " * 9, "日本語"]}
+    parser = language.Parser(samples)
+    texts = ["".join(rng.choice("abc qд語") for _ in range(rng.randint(1, 120))) for _ in range(40)]
+    texts += ["".join(rng.choice("abc ") for _ in range(10_000)), "a" * 5_000, "aqaqaqa", "bzbzb", "привет " * 400,
+              "".join(rng.choice("abcq") for _ in range(9_321)), "語" * 700, "x"]
+    codes = [language.symbols(t) for t in texts]
+    got = parser.phrases(codes)
+    for k, name in enumerate(parser.names):
+        own = b"\xff".join(language.symbols(p).tobytes() for p in samples[name]).decode("latin-1")
+        assert got[:, k].tolist() == [longest_match_phrases(c.tobytes().decode("latin-1"), own) for c in codes], name
+    assert parser.phrases([language.symbols("aqaqaqa")])[0, 0] == 7
+
+
+def test_symbols_keep_every_letter():
+    assert language.symbols("Ab, 12 Д-語!?").tobytes().decode() == "ab д 語 "
+    assert language.symbols("").tobytes() == b"" and language.symbols("..").tobytes() == b" "
+
+
+def test_three_scripts_stay_apart(spark):
+    stock = {"en": "abcdefghij", "ru": "бгджзлпрст", "el": "αβγδεζηθικ", "ja": "日月火水木金土山川田", "uk": "бгґджзлпєї"}
+    rng, rows = random.Random(2), []
+    words = {lang: ["".join(rng.choice(cs) for _ in range(rng.randint(2, 6))) for _ in range(60)] for lang, cs in stock.items()}
+    for k in range(300):
+        lang = sorted(stock)[k % 5]
+        rows.append((k, " ".join(rng.choice(words[lang]) for _ in range(rng.randint(3, 400))), lang, "s", 0))
+    got = {r["doc_id"]: r["lang_pred"] for r in language.predict_documents(spark.createDataFrame(rows, DOC)).collect()}
+    assert all(got[k] == sorted(stock)[k % 5] for k in range(300))
 
 
 def test_language_edges_and_accuracy(spark):
