@@ -15,9 +15,10 @@ from bazaarlake.llm.common import stored, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language can be recognised; those without any letter go."""
+    """Documents in which a learnt language is recognised, with `lang` set to it; those without any letter go."""
     teachers = docs.filter(F.col("doc_id").isNotNull() & ~language.held_out())
-    return language.identify(docs, teachers).filter("lang_pred <> 'und'").select(*docs.columns)
+    known = language.identify(docs, teachers).filter("lang_pred <> 'und'")
+    return known.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,10 +43,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids and their digest, and the digest of the bytes that the ids decode to."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    encoded = bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
-    return bpe.decode(encoded.select("doc_id", "ids", "ids_sha256"), ranks).select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "ids_sha256",
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+    encoded = bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN, decoded="decoded")
+    return encoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "ids_sha256",
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [
@@ -56,6 +56,11 @@ ORACLE_SQL = None  # suffix automata, fitted models and token merges are beyond
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`; an empty table, null texts, and null or repeated ids pass like any other rows.
+
+    Rows without text have no language and go in the first stage. Rows that share an id are one document for the
+    duplicate stage and stay or go together unless their texts differ.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name)
