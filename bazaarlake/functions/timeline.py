@@ -120,7 +120,8 @@ def _running(df: DataFrame, key: str, order: str, width: int, values: dict[str,
                                  f"_closes_{name}": (seen & closes).cast("bigint")})
     arrive = F.struct(F.lit(1).alias("sign"), at.alias("at"))
     leave = F.struct(F.lit(-1).alias("sign"), (at + F.lit(width + 1)).alias("at"))
-    moved = rows.withColumn("_move", F.explode(F.when(missing, F.array(arrive)).otherwise(F.array(arrive, leave))))
+    both = F.when(missing, F.array(arrive)).otherwise(F.array(arrive, leave))
+    moved = rows.withColumn("_move", F.explode(both))
     sign = F.col("_move.sign")
     moves = {n: F.when(sign == 1, v).otherwise(-v) for n, v in values.items()}
     # A window without any value has no sum: how many values are there travels along.
@@ -128,15 +129,15 @@ def _running(df: DataFrame, key: str, order: str, width: int, values: dict[str,
     moves |= {held[n]: F.when(values[n].isNull(), 0).otherwise(sign) for n in held}
     moves |= {n: F.when(sign == 1, F.col(f"_opens_{n}")).otherwise(-F.col(f"_closes_{n}")) for n in distinct}
     kept = [c for c in df.columns if c not in values and c not in distinct]
+    # The caller's columns travel as one struct, so that no helper can meet a column of the same name.
     line = moved.select(
-        key, sign.alias("_sign"), F.col("_move.at").alias("_at"),
-        *[F.when(sign == 1, F.col(c)).alias(c) for c in kept if c != key],
-        *[m.alias(f"_moved_{n}") for n, m in moves.items()])
-    along = Window.partitionBy(key, F.col("_at").isNull()).orderBy("_at").rangeBetween(_FIRST, 0)
-    state = line.withColumns({n: F.sum(f"_moved_{n}").over(along) for n in moves}).filter("_sign = 1")
-    sums = {n: F.when(F.col(held[n]) > 0, F.col(n)) if n in held else F.col(n) for n in values}
-    return state.select(*kept, *[s.cast(_CUBE).alias(n) for n, s in sums.items()],
-                        *[F.col(n).cast("bigint").alias(n) for n in distinct])
+        F.col(key).alias("_of"), sign.alias("_sign"), F.col("_move.at").alias("_at"),
+        F.when(sign == 1, F.struct(*kept)).alias("_row"), *[m.alias(f"_moved_{n}") for n, m in moves.items()])
+    along = Window.partitionBy("_of", F.col("_at").isNull()).orderBy("_at").rangeBetween(_FIRST, 0)
+    state = line.select("_row", "_sign", *[F.sum(f"_moved_{n}").over(along).alias(f"_sum_{n}") for n in moves]).filter("_sign = 1")
+    sums = {n: F.when(F.col(f"_sum_{held[n]}") > 0, F.col(f"_sum_{n}")) if n in held else F.col(f"_sum_{n}") for n in values}
+    return state.select(*[F.col("_row")[c].alias(c) for c in kept], *[s.cast(_CUBE).alias(n) for n, s in sums.items()],
+                        *[F.col(f"_sum_{n}").cast("bigint").alias(n) for n in distinct])
 
 
 def trailing(df: DataFrame, key: str, order: str, width: int, values: dict[str, Column],

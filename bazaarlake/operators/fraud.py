@@ -81,6 +81,19 @@ def conditions() -> dict[str, Column]:
     }
 
 
+def score_rows(bursts: DataFrame) -> DataFrame:
+    """rules_hit, fraud_probability and fraud_decision by the rules that a single row decides, without any shuffle.
+
+    `bursts` are payments with features and `add_burst`. The weights combine as in `rule_scores`.
+    """
+    weights = F.array_compact(F.array(*[F.when(c, F.lit(RULE_WEIGHTS[name])) for name, c in conditions().items()]))
+    hit = F.size("_weights").cast("bigint")
+    score = F.least(F.lit(1.0), S.round_to(F.array_max("_weights") + 0.05 * (hit - 1), 4))
+    return bursts.withColumn("_weights", weights).withColumns({
+        "rules_hit": hit, "fraud_probability": F.coalesce(score, F.lit(0.0)),
+    }).withColumn("fraud_decision", S.decide(F.col("fraud_probability"))).drop("_weights")
+
+
 def rules(enriched: DataFrame, **options) -> DataFrame:
     """(transaction_id, rule, score), one row per rule that fires.
 
@@ -140,11 +153,11 @@ def without_session(payments: DataFrame, sessions: DataFrame, lookback_seconds:
     A range join would pair every payment with every session of a user. Instead both are put on one timeline of
     distinct session starts and payments per user, and each payment takes the last start at or before it.
     """
-    starts = sessions.select("user_id", F.unix_micros("session_start").alias("_at"), F.lit(1).alias("_start"))
-    paid = payments.select("user_id", F.unix_micros("event_timestamp").alias("_at"), "transaction_id")
+    starts = sessions.select("user_id", F.unix_micros("session_start").alias("_micros"), F.lit(1).alias("_start"))
+    paid = payments.select("user_id", F.unix_micros("event_timestamp").alias("_micros"), "transaction_id")
     line = paid.withColumn("_start", F.lit(0)).unionByName(
         starts.distinct().withColumn("transaction_id", F.lit(None).cast("string")))
-    counted = trailing(line, "user_id", "_at", lookback_seconds * 1_000_000, {"_starts": F.col("_start")},
+    counted = trailing(line, "user_id", "_micros", lookback_seconds * 1_000_000, {"_starts": F.col("_start")},
                        chunk=P.DAY * 1_000_000)
     return counted.filter(F.col("transaction_id").isNotNull() & (F.col("_starts") == 0)).select(
         "transaction_id", "user_id")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -188,7 +190,8 @@ def build(bronze: DataFrame, loaded_at, **options) -> DataFrame:
     return curated(enrich(valid, **options), loaded_at)
 
 
-def refresh(history: DataFrame, new: DataFrame, withdrawn: DataFrame | None = None, **options) -> DataFrame:
+def refresh(history: DataFrame, new: DataFrame, withdrawn: DataFrame | None = None, older: DataFrame | None = None,
+            then: Callable[[DataFrame], DataFrame] | None = None, **options) -> DataFrame:
     """Features of the new payments and of the older ones that they change: equal to a full rebuild on those rows.
 
     A payment at t changes the features of the same user's payments in [t, t + 30 days], which in turn read the 30
@@ -196,6 +199,9 @@ def refresh(history: DataFrame, new: DataFrame, withdrawn: DataFrame | None = No
     `withdrawn` (transaction_id), which is valid no more. So only the users of new and of replaced rows are read, from
     30 days before the first of these; of what is older only its existence matters, for the first-payment flag. Both
     inputs are valid, deduplicated payments without features; the result is an upsert set by transaction_id.
+
+    `history` may leave out what is older than 30 days before all of these rows if `older` names the users (user_id)
+    that have payments there. `then` adds columns that also need the earlier payments beside a row.
     """
     ids = new.select("transaction_id")
     if withdrawn is not None:
@@ -206,7 +212,10 @@ def refresh(history: DataFrame, new: DataFrame, withdrawn: DataFrame | None = No
     touched = history.join(starts, "user_id").join(ids, "transaction_id", "left_anti")
     reach = F.col("event_timestamp") >= F.col("_from") - F.expr("INTERVAL 30 DAYS")
     featured = enrich(touched.filter(reach).drop("_from").unionByName(new, allowMissingColumns=True), **options)
-    seen = touched.filter(~reach).groupBy("user_id").agg(F.lit(True).alias("_seen_before"))
+    featured = then(featured) if then else featured
+    before = touched.filter(~reach).select("user_id")
+    seen = (before if older is None else before.union(older.select("user_id"))).distinct().withColumn(
+        "_seen_before", F.lit(True))
     marks = starts.join(seen, "user_id", "left")
     return (
         featured.join(marks, "user_id").filter(F.col("event_timestamp") >= F.col("_from"))

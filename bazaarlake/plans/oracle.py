@@ -442,9 +442,9 @@ sent AS (SELECT order_id, arg_max(CASE WHEN is_delayed THEN 'NG' ELSE delivery_c
   {{'a': event_ts, 'b': event_id}}) AS delivery_country FROM parcels GROUP BY order_id)
 SELECT order_id, billing_country, delivery_country FROM paid JOIN sent USING (order_id)
 WHERE billing_country <> delivery_country"""
-ORACLES["payment_without_session"] = """SELECT CAST(event_id AS VARCHAR) AS transaction_id, user_id FROM events p
-WHERE event_type = 'purchase' AND NOT EXISTS (SELECT 1 FROM events v WHERE v.user_id = p.user_id
-  AND v.event_type = 'view' AND v.ts <= p.ts AND v.ts >= p.ts - INTERVAL 6 HOURS)"""
+ORACLES["payment_without_session"] = f"""WITH {O.CLEAN}, {O.SESSIONS}
+SELECT transaction_id, user_id FROM valid p WHERE NOT EXISTS (SELECT 1 FROM sessions s WHERE s.user_id = p.user_id
+  AND s.session_start <= p.event_timestamp AND s.session_start >= p.event_timestamp - INTERVAL 6 HOURS)"""
 ORACLES["decision_mix"] = f"WITH {SCORES} SELECT fraud_decision, count(*) AS payments FROM scores GROUP BY ALL"
 ORACLES["score_histogram"] = f"""WITH {SCORES}
 SELECT CAST(least(floor(round(CAST(fraud_probability * 10 AS DECIMAL(38,12)), 6)), 9) AS DOUBLE) / 10.0 AS bin,
@@ -608,7 +608,7 @@ ORACLES["kyc_updates"] = f"""WITH {O.CRM}, {DOCS}
 SELECT crm.user_id, kyc_decision AS id_verification_status FROM crm JOIN checked_docs ON crm.user_id = checked_docs.user_id
 WHERE kyc_decision <> id_verification_status"""
 ORACLES["kyc_status_lookup"] = f"""WITH {O.CRM}, asked AS (SELECT DISTINCT CASE WHEN o_totalprice < 5000 THEN 'USR-UNKNOWN'
-  ELSE {O.USER.format('o_custkey')} END AS asked_id FROM orders WHERE o_orderstatus = 'F')
+  ELSE {O.USER.format('o_custkey')} END AS asked_id FROM orders)
 SELECT asked_id AS user_id, coalesce(id_verification_status, 'pending') AS kyc_status,
   CASE WHEN age IS NULL THEN NULL WHEN age <= 25 THEN '18-25' WHEN age <= 35 THEN '26-35' WHEN age <= 50 THEN '36-50'
     WHEN age <= 65 THEN '51-65' ELSE '65+' END AS age_group,
