@@ -107,6 +107,9 @@ def _running(df: DataFrame, key: str, order: str, width: int, values: dict[str,
     window, and only arrivals are kept. Rows without `order` see each other and never leave.
     """
     at, missing = F.col(order).cast("bigint"), F.col(order).isNull()
+    mark = "_w"  # helpers beside the caller's columns start like none of these
+    while any(c.startswith(mark) for c in df.columns):
+        mark += "_"
     # Without this the first window below would spread the rows by key and value, and the next ones anew by key.
     rows = df.repartition(key) if distinct else df
     for name, column in distinct.items():
@@ -116,22 +119,22 @@ def _running(df: DataFrame, key: str, order: str, width: int, values: dict[str,
             F.coalesce(F.col(order) - F.lag(order).over(same) > width, F.lit(True)))
         closes = F.coalesce(F.lead(order).over(same) - F.col(order) > width, F.lit(True))
         seen = F.col(column).isNotNull()
-        rows = rows.withColumns({f"_opens_{name}": (seen & opens).cast("bigint"),
-                                 f"_closes_{name}": (seen & closes).cast("bigint")})
+        rows = rows.withColumns({f"{mark}opens_{name}": (seen & opens).cast("bigint"),
+                                 f"{mark}closes_{name}": (seen & closes).cast("bigint")})
     arrive = F.struct(F.lit(1).alias("sign"), at.alias("at"))
     leave = F.struct(F.lit(-1).alias("sign"), (at + F.lit(width + 1)).alias("at"))
     both = F.when(missing, F.array(arrive)).otherwise(F.array(arrive, leave))
-    moved = rows.withColumn("_move", F.explode(both))
-    sign = F.col("_move.sign")
+    moved = rows.withColumn(f"{mark}move", F.explode(both))
+    sign = F.col(f"{mark}move.sign")
     moves = {n: F.when(sign == 1, v).otherwise(-v) for n, v in values.items()}
     # A window without any value has no sum: how many values are there travels along.
     held = {n: f"_held_{n}" for n, v in values.items() if df.select(v).schema[0].nullable}
     moves |= {held[n]: F.when(values[n].isNull(), 0).otherwise(sign) for n in held}
-    moves |= {n: F.when(sign == 1, F.col(f"_opens_{n}")).otherwise(-F.col(f"_closes_{n}")) for n in distinct}
+    moves |= {n: F.when(sign == 1, F.col(f"{mark}opens_{n}")).otherwise(-F.col(f"{mark}closes_{n}")) for n in distinct}
     kept = [c for c in df.columns if c not in values and c not in distinct]
     # The caller's columns travel as one struct, so that no helper can meet a column of the same name.
     line = moved.select(
-        F.col(key).alias("_of"), sign.alias("_sign"), F.col("_move.at").alias("_at"),
+        F.col(key).alias("_of"), sign.alias("_sign"), F.col(f"{mark}move.at").alias("_at"),
         F.when(sign == 1, F.struct(*kept)).alias("_row"), *[m.alias(f"_moved_{n}") for n, m in moves.items()])
     along = Window.partitionBy("_of", F.col("_at").isNull()).orderBy("_at").rangeBetween(_FIRST, 0)
     state = line.select("_row", "_sign", *[F.sum(f"_moved_{n}").over(along).alias(f"_sum_{n}") for n in moves]).filter("_sign = 1")

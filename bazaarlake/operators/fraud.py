@@ -88,7 +88,7 @@ def score_rows(bursts: DataFrame) -> DataFrame:
     """
     weights = F.array_compact(F.array(*[F.when(c, F.lit(RULE_WEIGHTS[name])) for name, c in conditions().items()]))
     hit = F.size("_weights").cast("bigint")
-    score = F.least(F.lit(1.0), S.round_to(F.array_max("_weights") + 0.05 * (hit - 1), 4))
+    score = F.when(hit > 0, F.least(F.lit(1.0), S.round_to(F.array_max("_weights") + 0.05 * (hit - 1), 4)))
     return bursts.withColumn("_weights", weights).withColumns({
         "rules_hit": hit, "fraud_probability": F.coalesce(score, F.lit(0.0)),
     }).withColumn("fraud_decision", S.decide(F.col("fraud_probability"))).drop("_weights")

@@ -317,3 +317,23 @@ def kafka_messages(df: DataFrame, key: str, topic: str, at: str = "ingested_at")
         F.col("kafka_partition").cast("int").alias("partition"), F.col("kafka_offset").alias("offset"),
         F.col(at).alias("timestamp"),
     )
+
+
+def payment_messages(spark: SparkSession, sf: str, path: str, parts: int = 3) -> None:
+    """All payments as intact Kafka messages below `path`/topic, in `parts` files by the time of delivery, oldest first.
+
+    Every eleventh order comes one file late, so that later files correct what earlier ones gave.
+    """
+    rows = payments(spark, sf)
+    fields = [f.name for f in schemas.STREAMS["payments-raw"] if f.name in rows.columns]
+    seconds = F.unix_timestamp("ingested_at")
+    low, high = rows.agg(F.min(seconds), F.max(seconds)).first()
+    late = (F.substring("order_id", 5, 20).cast("bigint") % 11 == 0).cast("int")
+    part = F.least(F.lit(parts - 1), F.floor((seconds - F.lit(low)) * parts / F.lit(high - low + 1)).cast("int") + late)
+    messages = rows.select(
+        part.alias("part"), F.col("user_id").cast("binary").alias("key"), F.to_json(F.struct(*fields)).cast("binary").alias("value"),
+        F.lit("payments-raw").alias("topic"), F.col("kafka_partition").alias("partition"), F.col("kafka_offset").alias("offset"),
+        F.col("ingested_at").alias("timestamp"))
+    messages.write.partitionBy("part").parquet(f"{path}/staged")
+    for k in range(parts):  # a stream takes files in the order in which they were written
+        spark.read.parquet(f"{path}/staged/part={k}").coalesce(1).write.mode("append").parquet(f"{path}/topic")

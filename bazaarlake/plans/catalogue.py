@@ -16,10 +16,10 @@ from bazaarlake.operators import bi, crm, fraud, funnel, gold, kyc, logistics, m
 from bazaarlake.operators import payments as P
 from bazaarlake.plans import bindings as B
 from bazaarlake.session import RUNTIME, checkpointed
-from bazaarlake.sources import readers
+from bazaarlake.sources import readers, streams
 from bazaarlake.sources.bronze import parse_json
 from bazaarlake import schemas
-from bazaarlake.streaming import jobs
+from bazaarlake.streaming import jobs, scoring
 
 AS_OF = B.AS_OF
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -775,10 +775,21 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def drained(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    return emitted(spark, df, name)[0]
+
+
+def emitted(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, object]:
+    """What a stream over all available input has emitted, and the last watermark of its progress ledger."""
     base = scratch(spark, name)
-    running = jobs.start_append(df, f"{base}/out", f"{base}/checkpoint", partition=())
+    running = jobs.start_append(df, f"{base}/out", f"{base}/checkpoint", partition=(), name=name)
     running.awaitTermination()
-    return spark.read.schema(df.schema).parquet(f"{base}/out")
+    jobs.record(spark, running, f"{base}/ledger")
+    return spark.read.schema(df.schema).parquet(f"{base}/out"), jobs.last_watermark(spark, f"{base}/ledger", name)
+
+
+def timed_events(spark, sf):
+    """The rows of `timed_stream` as a stored table."""
+    return B.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def timed_stream(spark, sf):
@@ -803,7 +814,9 @@ def stream_dedup(spark, sf):
 
 @query
 def stream_velocity(spark, sf):
-    return drained(spark, jobs.sliding_velocity(timed_stream(spark, sf), "user_id", "ts"), "velocity")
+    closed, mark = emitted(spark, jobs.sliding_velocity(timed_stream(spark, sf), "user_id", "ts"), "velocity")
+    return jobs.complete_windows(closed, timed_events(spark, sf), "ts", "5 minutes", mark,
+                                 lambda rows: jobs.sliding_velocity(rows, "user_id", "ts"), F.col("window_end"))
 
 
 @query
@@ -813,22 +826,67 @@ def stream_velocity_exact(spark, sf):
 
 @query
 def stream_sessions(spark, sf):
-    return drained(spark, jobs.session_stream(timed_stream(spark, sf), "user_id", "ts"), "sessions")
+    closed, _ = emitted(spark, jobs.session_stream(timed_stream(spark, sf), "user_id", "ts"), "sessions")
+    return jobs.complete_sessions(closed, timed_events(spark, sf), "user_id", "ts")
 
 
-def scored_stream(spark, sf):
+def scored_purchases(events):
     """Purchases scored by their amount: a stand-in for model output on the stream."""
-    purchases = timed_stream(spark, sf).filter(F.col("event_type") == "purchase")
+    purchases = events.filter(F.col("event_type") == "purchase")
     return purchases.withColumn("fraud_probability", F.least(F.col("value") / 100, F.lit(1.0))).withColumn(
         "fraud_decision", S.decide(F.col("fraud_probability")))
 
 
 @query
 def stream_alerts(spark, sf):
-    return drained(spark, jobs.alerts(scored_stream(spark, sf)).select(
+    return drained(spark, jobs.alerts(scored_purchases(timed_stream(spark, sf))).select(
         "event_id", "user_id", "fraud_probability", "fraud_decision"), "alerts")
 
 
 @query
 def stream_blocked_hourly(spark, sf):
-    return drained(spark, jobs.blocked_hourly(scored_stream(spark, sf), "ts", limit=1), "blocked")
+    def blocked(events):
+        return jobs.blocked_hourly(scored_purchases(events), "ts", limit=1)
+
+    closed, mark = emitted(spark, blocked(timed_stream(spark, sf)), "blocked")
+    return jobs.complete_windows(closed, timed_events(spark, sf), "ts", "1 hour", mark, blocked,
+                                 F.col("hour") + F.expr("INTERVAL 1 HOUR"))
+
+
+# Payments scored from messages in three micro-batches; the result is that of a run over all rows.
+
+_SCORED: dict[tuple[str, str], str] = {}
+
+
+def score_messages(spark, sf):
+    """The folder of one scoring job over all messages; the queries of one application share its tables."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _SCORED:
+        base = scratch(spark, "scoring")
+        B.payment_messages(spark, sf, base)
+        running = scoring.start(streams.files(spark, f"{base}/topic", 1), f"{base}/tables", f"{base}/checkpoint",
+                                watermark_seconds=600)
+        running.awaitTermination()
+        _SCORED[key] = f"{base}/tables"
+    return _SCORED[key]
+
+
+@query
+def stream_score(spark, sf):
+    """Every payment of the topic with its features, rule score and decision."""
+    return scoring.scores(spark, score_messages(spark, sf)).select(
+        *_MONTH, "velocity_count_5min", "is_first_transaction", "user_distinct_countries_30d",
+        "user_distinct_merchants_30d", "rules_hit", "fraud_probability", "fraud_decision")
+
+
+@query
+def stream_late_rows(spark, sf):
+    """Messages behind the watermark of the micro-batches before theirs, and the micro-batch they came in."""
+    return scoring.late(spark, score_messages(spark, sf)).select("transaction_id", "event_timestamp", "batch_id")
+
+
+@query
+def stream_progress(spark, sf):
+    """What each micro-batch took in, rejected and scored."""
+    return scoring.progress(spark, score_messages(spark, sf)).select(
+        "batch_id", "rows_in", "unreadable", "valid", "rejected", "late")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
+from datetime import datetime
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -16,6 +18,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from bazaarlake import constants as C
 from bazaarlake import schemas
+from bazaarlake.functions.timeline import gap_sessions
 from bazaarlake.operators import ml
 from bazaarlake.operators import payments as P
 from bazaarlake.sources.bronze import parse_json
@@ -124,6 +127,36 @@ def session_stream(events: DataFrame, key: str, at: str, gap: str = "30 minutes"
     ).drop("session_window")
 
 
+def complete_windows(closed: DataFrame, rows: DataFrame, at: str, width: str, watermark: object,
+                     compute: Callable[[DataFrame], DataFrame], end: Column) -> DataFrame:
+    """All windows of `rows`: those that the stream has emitted (`closed`), and those its last watermark left open.
+
+    A window is emitted when its `end` is at or before the watermark. `compute` is the function of the stream, here on
+    stored rows that can lie in an open window; `watermark` comes from the progress ledger (None: nothing was emitted).
+    """
+    if watermark is None:
+        return compute(rows)
+    limit = F.lit(watermark).cast("timestamp")
+    near = rows.filter(F.col(at) > limit - F.expr(f"INTERVAL {width}"))
+    return closed.unionByName(compute(near).filter(end > limit))
+
+
+def complete_sessions(closed: DataFrame, rows: DataFrame, key: str, at: str, gap_seconds: int = 1_800, **routing) -> DataFrame:
+    """All sessions of `rows`: the emitted ones, and those of the rows after each key's last emitted session.
+
+    Sessions of one key end in order, so whatever comes after the last emitted one is open, however far it reaches
+    back. Open sessions take the batch route, which also splits a heavy key by time.
+    """
+    last = closed.groupBy(F.col(key).alias("_of")).agg(F.max("session_end").alias("_closed"))
+    rest = rows.select(key, at).join(last, F.col(key) == F.col("_of"), "left").filter(
+        F.col("_closed").isNull() | (F.col(at) > F.col("_closed"))).select(key, at, F.unix_micros(at).alias("_micros"))
+    # A pause of exactly the gap ends a session of the stream, a longer one that of the timeline.
+    opened = gap_sessions(rest, key, "_micros", gap_seconds * 1_000_000 - 1, **routing)
+    sessions = opened.groupBy(key, "session_open").agg(
+        F.count(F.lit(1)).alias("total_events"), F.min(at).alias("session_start"), F.max(at).alias("session_end"))
+    return closed.unionByName(sessions.drop("session_open"))
+
+
 def score(model: PipelineModel, features: DataFrame, version: str) -> DataFrame:
     """Scored stream with decision, audit and partition columns."""
     return ml.score(model, features, None, version).withColumns({
@@ -177,6 +210,64 @@ def route_late(at: str, watermark_seconds: int, on_time: Callable[[DataFrame, in
     return write
 
 
+LEDGER = ("query string, batch_id bigint, run_id string, rows_in bigint, rows_out bigint, watermark timestamp, "
+          "rows_per_second double, observed string, ended_at timestamp")
+
+
+def _ledger_row(p) -> tuple:
+    """One progress report as a row: counts, the watermark that the batch ran with, and the metrics it observed."""
+    moment = (p.get("eventTime") or {}).get("watermark")
+    out = (p.get("sink") or {}).get("numOutputRows", -1)
+    return (p.get("name") or p["id"], p["batchId"], p["runId"], p["numInputRows"], None if out < 0 else out,
+            _moment(moment), p.get("processedRowsPerSecond"), json.dumps(p.get("observedMetrics") or {}, default=str),
+            _moment(p["timestamp"]))
+
+
+def _moment(text: str | None) -> datetime | None:
+    return None if not text or text.startswith("1970-01-01") else datetime.fromisoformat(text.replace("Z", "+00:00"))
+
+
+def write_ledger(spark: SparkSession, reports: list[dict], path: str) -> None:
+    """Append progress reports as a table. A report that is written again replaces itself."""
+    if reports:
+        rows = spark.createDataFrame([_ledger_row(p) for p in reports], LEDGER)
+        rows.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "query", "batch_id").parquet(path)
+
+
+def record(spark: SparkSession, query: StreamingQuery, path: str) -> None:
+    """Put the recent progress of a query into the ledger."""
+    write_ledger(spark, [json.loads(p.json) if hasattr(p, "json") else dict(p) for p in query.recentProgress], path)
+
+
+def ledger(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(LEDGER).parquet(path)
+
+
+def last_watermark(spark: SparkSession, path: str, query: str) -> datetime | None:
+    """The watermark of the newest recorded batch, up to which the query has emitted its windows."""
+    return ledger(spark, path).filter(F.col("query") == query).agg(F.max("watermark")).first()[0]
+
+
+class LedgerListener(StreamingQueryListener):
+    """Puts every progress report of a session's streams into the ledger as it comes."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        write_ledger(self.spark, [json.loads(event.progress.json)], self.path)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
 class ProgressLog(StreamingQueryListener):
     """Keeps the last progress per query: batch, rows in, rate, and why a query ended."""
 
