@@ -691,3 +691,16 @@ ORACLES["stream_progress"] = f"""WITH {TAKEN}, came AS (SELECT batch_id, count(*
 SELECT batch_id, any_value(rows_in) AS rows_in, CAST(0 AS BIGINT) AS unreadable,
   count(*) FILTER (reject_reason IS NULL) AS valid, count(*) FILTER (reject_reason IS NOT NULL) AS rejected,
   count(*) FILTER (is_late) AS late FROM marked JOIN came USING (batch_id) GROUP BY batch_id"""
+
+# Stored tables.
+
+ORACLES["upsert_on_disk"] = """SELECT o_orderkey, o_custkey, o_orderstatus,
+  CASE WHEN o_orderstatus = 'P' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+  CASE WHEN o_orderstatus = 'P' THEN '1999-01' ELSE strftime(o_orderdate, '%Y-%m') END AS month
+FROM orders WHERE NOT (o_orderstatus = 'F' AND o_orderkey % 10 = 0)"""
+ORACLES["upsert_changed_partitions"] = f"""WITH after AS ({ORACLES["upsert_on_disk"]}),
+touched AS (SELECT strftime(o_orderdate, '%Y-%m') AS month FROM orders
+    WHERE o_orderstatus = 'P' OR (o_orderstatus = 'F' AND o_orderkey % 10 = 0)
+  UNION SELECT '1999-01' WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderstatus = 'P'))
+SELECT month, month NOT IN (SELECT month FROM after) AS gone FROM touched"""
+ORACLES["fact_orders_incremental"] = ORACLES["fact_orders"]
