@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bazaarlake.functions import scalars as S
 from bazaarlake.operators import crm as crm_ops
-from bazaarlake.operators import gold, payments, quality, sessions, tables
+from bazaarlake.operators import fraud, gold, payments, quality, sessions, tables
 from bazaarlake.session import checkpointed
 from bazaarlake.sources.readers import Registry, is_ready, of_day
 
@@ -77,6 +78,17 @@ def run_gold(spark: SparkSession, registry: Registry, as_of: str, catalogue: Dat
     written = registry.read(spark, "gold.fact_orders")
     tables.rebuild(gold.kpi_daily(written.filter("status = 'success'")), registry.path("gold.kpi_daily"))
     tables.rebuild(gold.feature_store(written), registry.path("gold.fraud_feature_store"))
+    tables.rebuild(tables.spread(fraud_scores(spark, registry), "event_date", ["user_id"]),
+                   registry.path("gold.fact_fraud_scores"), ["event_date"])
+
+
+def fraud_scores(spark: SparkSession, registry: Registry) -> DataFrame:
+    """Every valid payment with its rule score; the rules need addresses and devices, which the curated table leaves out."""
+    base = spark.read.option("mergeSchema", "true").parquet(registry.path("silver.payments") + "_base")
+    enriched = checkpointed(payments.enrich(base))
+    distance = S.country_distance_km(F.col("ip_country_code"), F.col("shipping_country_iso"))
+    placed = enriched.withColumn("geo_distance_km", S.round_to(distance, 1))
+    return fraud.fact_fraud_scores(placed, fraud.rule_scores(fraud.rules(enriched)))
 
 
 def spread_by(df: DataFrame, column: str) -> DataFrame:

@@ -151,3 +151,13 @@ def test_no_cross_join_for_incremental_reads(spark, plan):
     df = spark.range(10).select(F.timestamp_seconds("id").alias("at"))
     text = plan(readers.newer_rows(df, df.filter(F.col("at") < F.timestamp_seconds(F.lit(5))), "at"))
     assert "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_library_works_without_a_package_of_the_optional_folder():
+    import subprocess
+    import sys
+
+    code = ("import sys, warnings; warnings.simplefilter('ignore'); sys.modules['ahocorasick'] = None\n"
+            "import __spark_entry__ as e; q = e.queries(); assert 'silver_payments' in q and 'op3_decontamination' not in q")
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=__file__.rsplit("/", 2)[0])
+    assert done.returncode == 0, done.stderr

@@ -50,5 +50,8 @@ def test_whole_night(spark, tmp_path):
     assert facts.count() == counts["valid"] == registry.read(spark, "gold.fraud_feature_store").count()
     assert registry.read(spark, "gold.kpi_daily").agg(F.sum("orders")).first()[0] == facts.filter(
         "status = 'success'").count()
+    scored = registry.read(spark, "gold.fact_fraud_scores")
+    assert scored.count() == counts["valid"] and scored.filter("rules_hit > 0").count() > 0
+    assert scored.filter("fraud_decision = 'BLOCK' and fraud_probability < 0.8").isEmpty()
     assert registry.read(spark, "silver.clickstream").count() > 0
     assert "email" not in registry.read(spark, "silver.crm").columns
