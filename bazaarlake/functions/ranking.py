@@ -57,3 +57,22 @@ def add_ntiles(df: DataFrame, key: str, scores: dict[str, list[Column]], tiles:
     for name, order in scores.items():
         out = out.join(ntile_by_sort(stable, key, order, tiles, name), key)
     return out
+
+
+def running_totals(df: DataFrame, by: list[str], order_by: list[Column], sums: list[str]) -> DataFrame:
+    """Add `before_<name>` per name of `sums`: its sum over the earlier rows of the same `by` in the order.
+
+    Rows are sorted by range, so a group that holds most rows is spread over many tasks: a row adds up its own sort
+    partition, and the totals of earlier partitions are added to that. The order must be total within a group. Columns
+    of `by` hold no NULL; a NULL in a summed column counts as 0.
+    """
+    placed = checkpointed(df.orderBy(*by, *order_by).withColumn("_place", F.monotonically_increasing_id()))
+    placed = placed.withColumn("_part", F.shiftright("_place", 33))
+    earlier = Window.partitionBy("_part", *by).orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    inside = placed.withColumns({f"_in_{s}": F.coalesce(F.sum(s).over(earlier), F.lit(0)) for s in sums})
+    # One row per sort partition and group that it holds.
+    ends = placed.groupBy("_part", *by).agg(*(F.sum(s).alias(f"_sum_{s}") for s in sums))
+    parts = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select("_part", *by, *(F.coalesce(F.sum(f"_sum_{s}").over(parts), F.lit(0)).alias(f"_base_{s}") for s in sums))
+    return inside.join(ends, ["_part", *by]).select(
+        *df.columns, *((F.col(f"_base_{s}") + F.col(f"_in_{s}")).alias(f"before_{s}") for s in sums))

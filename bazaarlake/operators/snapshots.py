@@ -105,13 +105,16 @@ def folder_of(values: list, partition: str) -> list[str]:
 
 
 def publish(spark: SparkSession, rows: DataFrame, path: str, partition: str, replace: list | None = None,
-            sort: list[str] | None = None, source: dict[str, int] | None = None) -> int:
+            sort: list[str] | None = None, source: dict[str, int] | None = None, expected: int | None = None) -> int:
     """Write `rows` as new files and make them visible as the next version; returns it.
 
     `replace` lists the partition values whose old rows go, besides those of `rows`; None replaces the whole table.
-    `rows` may read the table itself.
+    `rows` may read the table itself. With `expected`, the newest version must be that one (0: no table yet): what the
+    caller has read decides the rows, so a version that came in between is a `Conflict`.
     """
     before = manifest(spark, path)
+    if expected is not None and expected != (before.version if before else 0):
+        raise Conflict(f"{path} is no longer at version {expected}")
     snapshot = uuid.uuid4().hex
     spread(rows, partition, sort).write.partitionBy(partition).parquet(f"{path}/data/snapshot={snapshot}")
     fresh = {n: snapshot for n in _names(spark, f"{path}/data/snapshot={snapshot}") if "=" in n}
@@ -145,8 +148,8 @@ def partitions_of(spark: SparkSession, wanted: DataFrame, path: str, keys: list[
 
 
 def upsert(spark: SparkSession, incoming: DataFrame, path: str, keys: list[str], partition: str,
-           sort: list[str] | None = None, removed: DataFrame | None = None) -> int:
-    """Insert or update by key; rows whose key is in `removed` go. Returns the new version.
+           sort: list[str] | None = None, removed: DataFrame | None = None, expected: int | None = None) -> int:
+    """Insert or update by key; rows whose key is in `removed` go. Returns the new version; `expected` as in `publish`.
 
     Only partitions that the index names for these keys, and those of incoming rows, are read and written. A row whose
     partition value changed leaves its old partition. A key has at most one row in `incoming`; the two sets of keys must
@@ -156,7 +159,7 @@ def upsert(spark: SparkSession, incoming: DataFrame, path: str, keys: list[str],
     check_unique(incoming, keys)
     _remember(incoming, path, keys, partition)  # too many entries are harmless, so the index may be ahead of the table
     if manifest(spark, path) is None:
-        return publish(spark, incoming, path, partition, sort=sort)
+        return publish(spark, incoming, path, partition, sort=sort, expected=expected)
     changed = incoming.select(*keys)
     if removed is not None:
         removed = checkpointed(removed.select(*keys).distinct())
@@ -166,7 +169,7 @@ def upsert(spark: SparkSession, incoming: DataFrame, path: str, keys: list[str],
     stay = only(read(spark, path), partition, touched)
     if removed is not None:
         stay = stay.join(removed, keys, "left_anti")
-    return publish(spark, merged(stay, incoming, keys), path, partition, touched, sort)
+    return publish(spark, merged(stay, incoming, keys), path, partition, touched, sort, expected=expected)
 
 
 def only(rows: DataFrame, partition: str, values: list) -> DataFrame:

@@ -9,14 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bazaarlake import constants as C
 from bazaarlake.functions import scalars as S
 from bazaarlake.functions.ranking import add_ntiles, dedup_latest
 from bazaarlake.functions.skew import ALL, hot_keys, none_hot
-from bazaarlake.operators import bi, crm, fraud, funnel, gold, kyc, logistics, ml, privacy, quality, sessions, snapshots, tables
+from bazaarlake.operators import bi, crm, fraud, funnel, gold, kyc, logistics, ml, privacy, quality, sessions, snapshots, tables, training
 from bazaarlake.operators import payments as P
 from bazaarlake.plans import bindings as B
 from bazaarlake.session import RUNTIME, checkpointed
-from bazaarlake.sources import readers, streams
+from bazaarlake.sources import claims, readers, streams
 from bazaarlake.sources.bronze import parse_json
 from bazaarlake import schemas
 from bazaarlake.streaming import jobs, scoring
@@ -732,6 +733,23 @@ def kyc_status_lookup(spark, sf):
     return kyc.status_lookup(asking, silver_crm(spark, sf))
 
 
+@query
+def document_claims(spark, sf):
+    """The ledger after four runs of 50 over one document per customer: the first finishes, the second dies, the third
+    takes others, the fourth comes after the lease and takes the oldest that are free, those of the second among them."""
+    folder = f"{scratch(spark, 'claims')}/ledger"
+    key = F.col("c_custkey")
+    files = B.table(spark, sf, "customer").select(
+        F.concat(B.user("c_custkey"), F.lit("/id.jpg")).alias("path"),
+        F.timestamp_seconds(F.unix_timestamp(S.as_timestamp(B.EPOCH)) + key * 7_919 % 997).alias("modificationTime"))
+    claims.finish(spark, claims.claim(spark, files, folder, "run-1", "2024-03-01 01:00:00"), folder, "run-1",
+                  "2024-03-01 01:30:00")
+    claims.claim(spark, files, folder, "run-2", "2024-03-01 02:00:00")
+    claims.claim(spark, files, folder, "run-3", "2024-03-01 06:00:00")
+    claims.claim(spark, files, folder, "run-4", "2024-03-01 09:00:00", batch=70)
+    return claims.ledger(spark, folder)
+
+
 # Model.
 
 def labelled(spark, sf):
@@ -770,6 +788,39 @@ def ml_gate(spark, sf):
     return ml.gate(ml.confusion(scored))
 
 
+@query
+def ml_medians(spark, sf):
+    """What fills gaps of the model's numbers."""
+    return training.medians(ml.prepare(labelled(spark, sf)), [c for c in C.NUMERIC_FEATURES if c != "geo_distance_km"])
+
+
+@query
+def ml_codes(spark, sf):
+    return training.codes(ml.prepare(labelled(spark, sf)), C.CATEGORICAL_FEATURES)
+
+
+@query
+def ml_parts(spark, sf):
+    rows = training.three_parts(ml.prepare(labelled(spark, sf)))
+    return rows.groupBy(ml.LABEL, "part").agg(F.count(F.lit(1)).alias("payments"))
+
+
+def rule_curve(spark, sf):
+    return training.precision_recall(scores(spark, sf).withColumn(ml.LABEL, F.col("confirmed_fraud").cast("double")))
+
+
+@query
+def ml_precision_recall(spark, sf):
+    """Precision and recall of the rule score at each of its values."""
+    return rule_curve(spark, sf).select("threshold", "flagged", "hits", S.round_to(F.col("precision"), 6).alias("precision"),
+                                        S.round_to(F.col("recall"), 6).alias("recall"))
+
+
+@query
+def ml_ranking_metrics(spark, sf):
+    return training.ranking_metrics(rule_curve(spark, sf))
+
+
 # Streams: the tables replayed as file streams, all available input, then read back.
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -704,3 +704,44 @@ touched AS (SELECT strftime(o_orderdate, '%Y-%m') AS month FROM orders
   UNION SELECT '1999-01' WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderstatus = 'P'))
 SELECT month, month NOT IN (SELECT month FROM after) AS gone FROM touched"""
 ORACLES["fact_orders_incremental"] = ORACLES["fact_orders"]
+
+# Claims of documents and the training job.
+
+ORACLES["document_claims"] = f"""WITH files AS (
+  SELECT {O.USER.format('c_custkey')} || '/id.jpg' AS path, c_custkey * 7919 % 997 AS at_s FROM customer),
+ranked AS (SELECT path, row_number() OVER (ORDER BY at_s, path) AS place FROM files),
+taken AS (SELECT path, CASE WHEN place <= 50 THEN 'run-1' WHEN place <= 100 THEN 'run-4' WHEN place <= 150 THEN 'run-3'
+  WHEN place <= 170 THEN 'run-4' END AS run FROM ranked)
+SELECT path, run, CASE run WHEN 'run-1' THEN 'done' ELSE 'claimed' END AS state,
+  CASE run WHEN 'run-1' THEN TIMESTAMP '2024-03-01 01:00:00' WHEN 'run-3' THEN TIMESTAMP '2024-03-01 06:00:00'
+    ELSE TIMESTAMP '2024-03-01 09:00:00' END AS claimed_at,
+  CASE run WHEN 'run-1' THEN TIMESTAMP '2024-03-01 01:30:00' END AS finished_at, DATE '2024-03-01' AS claimed_on
+FROM taken WHERE run IS NOT NULL"""
+NUMBERS = {"txn_count_5min": "n5", "txn_count_1h": "n60", "txn_count_30d": "n30", "avg_amount_30d": MEAN,
+           "amount_vs_avg_ratio": RATIO, "amount_stddev_30d": STD}
+ORACLES["ml_medians"] = f"WITH {LABELLED} " + " UNION ALL ".join(
+    f"SELECT '{name}' AS name, count(v) AS rows, median(v) AS median FROM (SELECT CAST({sql} AS DOUBLE) AS v FROM labelled)"
+    for name, sql in NUMBERS.items())
+ORACLES["ml_codes"] = f"WITH {LABELLED}, seen AS (" + " UNION ".join(
+    f"SELECT '{c}' AS name, coalesce({c}, 'unknown') AS value FROM labelled" for c in C.CATEGORICAL_FEATURES) + """)
+SELECT name, value, CAST(row_number() OVER (PARTITION BY name ORDER BY value) AS INTEGER) AS code FROM seen"""
+ORACLES["ml_parts"] = f"""WITH {LABELLED}, coded AS (
+  SELECT CAST(is_fraud AS DOUBLE) AS label, CAST('0x' || substr(md5('42|' || CAST(is_fraud AS INTEGER) || '|' || transaction_id),
+    1, 8) AS BIGINT) % 100 AS bucket FROM labelled)
+SELECT label, CASE WHEN bucket < 15 THEN 'test' WHEN bucket < 30 THEN 'validation' ELSE 'train' END AS part,
+  count(*) AS payments FROM coded GROUP BY ALL"""
+CURVE = f"""{SCORES}, counted AS (
+  SELECT fraud_probability AS threshold, count(*) FILTER (confirmed_fraud) AS new_hits, count(*) AS new_rows FROM scores
+  WHERE confirmed_fraud IS NOT NULL GROUP BY 1),
+curve AS (SELECT *, sum(new_hits) OVER w AS hits, sum(new_rows) OVER w AS flagged, sum(new_hits) OVER () AS positives,
+  sum(new_rows) OVER () AS total FROM counted WINDOW w AS (ORDER BY threshold DESC))"""
+ORACLES["ml_precision_recall"] = f"""WITH {CURVE}
+SELECT threshold, CAST(flagged AS BIGINT) AS flagged, CAST(hits AS BIGINT) AS hits,
+  round(hits::DOUBLE / flagged, 6) AS precision, round(hits::DOUBLE / nullif(positives, 0), 6) AS recall FROM curve"""
+ORACLES["ml_ranking_metrics"] = f"""WITH {CURVE},
+pairs AS (SELECT sum(CASE WHEN a.fraud_probability > b.fraud_probability THEN 1.0::DOUBLE
+    WHEN a.fraud_probability = b.fraud_probability THEN 0.5::DOUBLE ELSE 0 END * a.n * b.n) AS won
+  FROM (SELECT fraud_probability, count(*) AS n FROM scores WHERE confirmed_fraud GROUP BY 1) a,
+    (SELECT fraud_probability, count(*) AS n FROM scores WHERE NOT confirmed_fraud GROUP BY 1) b)
+SELECT round(sum(new_hits::DOUBLE / positives * hits / flagged), 6) AS average_precision,
+  round(any_value(won) / any_value(positives * (total - positives))::DOUBLE, 6) AS roc_auc FROM curve, pairs"""
