@@ -1,9 +1,11 @@
 """Sharding by best-fit-decreasing bin packing.
 
-A group (rows that must stay together) is indivisible. Groups are sized in Spark and counted by size class; only the
-counts reach the driver, at most a few ten thousand however many groups there are, because a class keeps the twelve
-leading bits of a size. Best fit decreasing over the counts is the same as over the single groups: groups of one size
-go to the tightest bin until it is full. What comes back is, for each class, which ranks go to which bin.
+A group (rows that must stay together) is indivisible. Groups are sized in Spark and counted by size; only the counts
+reach the driver, however many groups there are. The `EXACT` largest sizes that occur are exact; below them, where groups
+are small against a shard, a size counts as its twelve leading bits, rounded up. Best fit decreasing over the counts is the
+same as over the single groups: groups of one size go to the tightest bin until it is full, and bins that are filled
+alike stay one range of bins. What comes back is, for each size, which ranks go to which range, so that the driver's part
+grows with the sizes and not with the groups or the shards.
 """
 
 from __future__ import annotations
@@ -14,17 +16,18 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlake.llm.common import positions
+from bazaarlake.llm.common import positions, stored
 
 CLASS_BITS = 12
+EXACT = 10_000
 
 
 class Treap:
-    """A balanced search tree of (remaining capacity, bin)."""
+    """A balanced search tree of (remaining capacity, first bin, number of bins): bins in a row with equal capacity left."""
 
     @dataclass
     class Node:
-        key: tuple[int, int]
+        key: tuple[int, int, int]
         weight: float
         left: Treap.Node | None = None
         right: Treap.Node | None = None
@@ -51,11 +54,11 @@ class Treap:
         b.left = self._merge(a, b.left)
         return b
 
-    def add(self, key: tuple[int, int]) -> None:
+    def add(self, key: tuple[int, int, int]) -> None:
         low, high = self._split(self.root, key)
         self.root = self._merge(self._merge(low, self.Node(key, self.random.random())), high)
 
-    def take_at_least(self, size: int) -> tuple[int, int] | None:
+    def take_at_least(self, size: int) -> tuple[int, int, int] | None:
         """Remove and return the smallest key with at least `size` remaining."""
         low, high = self._split(self.root, (size, -1))
         node = high
@@ -76,29 +79,59 @@ class Run:
     shard: int
 
 
-def best_fit_decreasing(counts: dict[int, int], capacity: int, most: int | None = None,
-                        first_rank: dict[int, int] | None = None, first_shard: int = 0) -> list[Run] | None:
+@dataclass
+class Filled:
+    """Groups of class `size` with ranks from `first` up to `last` (exclusive) go to bins from `shard` on, `each` to a bin."""
+    size: int
+    first: int
+    last: int
+    shard: int
+    each: int
+
+
+def fill(counts: dict[int, int], capacity: int, most: int | None = None, first_rank: dict[int, int] | None = None,
+         first_shard: int = 0) -> list[Filled] | None:
     """Pack `counts` (size to number of groups) into bins of `capacity`; None if that takes more than `most` bins.
 
     A group larger than the capacity gets a bin of its own.
     """
-    tree, runs, bins = Treap(), [], first_shard
+    tree, filled, bins = Treap(), [], first_shard
     for size in sorted(counts, reverse=True):
         at = (first_rank or {}).get(size, 0)
         left = counts[size]
         while left:
             found = tree.take_at_least(size)
             if found is None:
-                if most is not None and bins - first_shard >= most:
+                room = max(capacity, size)
+                fresh = -(-left // (room // size))
+                if most is not None and bins + fresh - first_shard > most:
                     return None
-                found = (max(capacity, size), bins)
-                bins += 1
-            remaining, shard = found
-            fits = min(left, remaining // size)
-            runs.append(Run(size, at, at + fits, shard))
-            at, left = at + fits, left - fits
-            tree.add((remaining - fits * size, shard))
-    return runs
+                found = (room, bins, fresh)
+                bins += fresh
+            remaining, shard, many = found
+            each = remaining // size
+            whole = min(many, left // each)
+            parts = [(whole, whole * each, remaining - each * size)]  # bins, groups in them, capacity that stays
+            if whole < many and left % each and left < many * each:
+                parts.append((1, left % each, remaining - left % each * size))
+            for used, groups, rest in parts:
+                if used:
+                    filled.append(Filled(size, at, at + groups, shard, each))
+                    at, left, shard, many = at + groups, left - groups, shard + used, many - used
+                    if rest:
+                        tree.add((rest, shard - used, used))
+            if many:
+                tree.add((remaining, shard, many))
+    return filled
+
+
+def best_fit_decreasing(counts: dict[int, int], capacity: int, most: int | None = None,
+                        first_rank: dict[int, int] | None = None, first_shard: int = 0) -> list[Run] | None:
+    """`fill` with one `Run` per bin and size, for a number of bins that is known to be small."""
+    filled = fill(counts, capacity, most, first_rank, first_shard)
+    return None if filled is None else [
+        Run(f.size, at, min(at + f.each, f.last), f.shard + k)
+        for f in filled for k, at in enumerate(range(f.first, f.last, f.each))]
 
 
 def level(counts: dict[int, int], shards: int) -> list[Run]:
@@ -140,16 +173,29 @@ def size_class(size: Column, bits: int = CLASS_BITS) -> Column:
 
 def pack(groups: DataFrame, size: str, order: list[Column], shards: int | None = None,
          capacity: int | None = None) -> DataFrame:
-    """Add `shard` to one row per group: `shards` shards of near equal size, or as few as fit `capacity`."""
+    """Add `shard` to one row per group: `shards` shards of near equal size, or as few as fit `capacity`.
+
+    Groups of one size are taken in the ascending order of `order`. A size that is missing or below 1 counts as 1. A
+    column `shard` of the groups is replaced; other columns may have any name.
+    """
     spark = groups.sparkSession
-    classed = groups.withColumn("_class", size_class(F.col(size)))
-    ranked = positions(classed, order, ["_class"], "groups", "_rank")
-    counts = {r[0]: r[1] for r in ranked.groupBy("_class").count().collect()}  # bounded by the size classes
-    runs = level(counts, shards) if capacity is None else best_fit_decreasing(counts, capacity)
-    rows = [(r.size, r.first, r.last, r.shard) for r in runs or []]
-    plan = spark.createDataFrame(rows, "_class long, _first long, _last long, shard int")
-    return ranked.join(F.broadcast(plan), (ranked["_class"] == plan["_class"]) & (F.col("_rank") >= F.col("_first"))
-                       & (F.col("_rank") < F.col("_last"))).select(*groups.columns, "shard")
+    sized = stored(groups.select(F.struct(*[F.col(f"`{c}`") for c in groups.columns if c != "shard"]).alias("_rest"),
+                                 F.struct(*order).alias("_order"),
+                                 F.greatest(F.coalesce(F.col(size), F.lit(1)), F.lit(1)).cast("bigint").alias("_size")), "sizes")
+    least = sized.select("_size").distinct().orderBy(F.col("_size").desc()).limit(EXACT).agg(F.min("_size")).first()[0]
+    classed = sized.withColumn("_class", F.when(F.col("_size") >= F.lit(least), F.col("_size")).otherwise(
+        size_class(F.col("_size"))))
+    ranked = positions(classed, [F.col("_order")], ["_class"], "groups", "_rank")
+    counts = {r[0]: r[1] for r in ranked.groupBy("_class").count().collect()}  # EXACT sizes and the classes below them
+    if capacity is None:
+        filled = [Filled(r.size, r.first, r.last, r.shard, r.last - r.first) for r in level(counts, shards)]
+    else:
+        filled = fill(counts, capacity)
+    rows = [(f.size, f.first, f.last, f.shard, f.each) for f in filled]
+    plan = spark.createDataFrame(rows, "_class long, _first long, _last long, _shard long, _each long")
+    return ranked.join(plan, (ranked["_class"] == plan["_class"]) & (F.col("_rank") >= F.col("_first"))
+                       & (F.col("_rank") < F.col("_last"))).select(
+        "_rest.*", (F.col("_shard") + F.floor((F.col("_rank") - F.col("_first")) / F.col("_each"))).cast("int").alias("shard"))
 
 
 def shard_documents(docs: DataFrame, shards: int = 8, text: str = "text") -> DataFrame:

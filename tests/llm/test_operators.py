@@ -397,6 +397,37 @@ def test_fixed_capacity(spark):
     assert out.agg(F.max("b")).first()[0] <= 12 and out.count() <= math.ceil(450 / 12) + 2
 
 
+def test_ranges_of_bins_equal_single_items():
+    dice = random.Random(5)
+    for _ in range(60):
+        sizes = [dice.choice([1, 2, 3, 5, 8, 9, 21, 30, 70]) for _ in range(dice.randrange(1, 150))]
+        bins = []
+        for size in sorted(sizes, reverse=True):
+            open_bins = [b for b in range(len(bins)) if bins[b] >= size]
+            if open_bins:
+                bins[min(open_bins, key=lambda b: (bins[b], b))] -= size
+            else:
+                bins.append(max(50, size) - size)
+        counts = collections.Counter(sizes)
+        loads, ranks = collections.Counter(), collections.defaultdict(set)
+        for run in sharding.best_fit_decreasing(dict(counts), 50):
+            loads[run.shard] += run.size * (run.last - run.first)
+            ranks[run.size] |= set(range(run.first, run.last))
+        assert ranks == {s: set(range(n)) for s, n in counts.items()}
+        assert sorted(loads.values()) == sorted(max(50, loads[b]) - left for b, left in enumerate(bins))
+    assert len(sharding.fill({7: 10**9, 3: 10**9}, 100)) < 20, "a billion groups, a few ranges"
+    assert sharding.fill({7: 10**9, 3: 10**9}, 100, most=10**8 - 1) is None
+
+
+def test_capacity_uses_exact_sizes(spark):
+    """Four groups of 50,001 fill two shards of 100,002; clashing columns and missing sizes are kept."""
+    groups = spark.createDataFrame(
+        [(k, 50_001, "c", "r", k) for k in range(4)] + [(9, None, "c", "r", 5)], "g long, bytes long, _class string, _rank string, shard long")
+    out = sharding.pack(groups, "bytes", [F.col("g")], capacity=100_002).collect()
+    assert sorted(r["shard"] for r in out) == [0, 0, 1, 1, 2] and {(r["_class"], r["_rank"]) for r in out} == {("c", "r")}
+    assert sharding.pack(groups.limit(0), "bytes", [F.col("g")], capacity=10).count() == 0
+
+
 def test_positions_are_gapless(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), (F.col("id") % 7).alias("v"), "id")
     got = common.positions(df, [F.col("v"), F.col("id")], ["k"], "test", "at").collect()
