@@ -158,6 +158,25 @@ def enforce(results: DataFrame) -> list:
     return failed
 
 
+def store_results(df: DataFrame, rules: list[Rule], suite: str, folder: str, run_date: str) -> DataFrame:
+    """Run a suite and store what it found below `folder`; returns the results.
+
+    `results` has one row per rule. `failures` has one row per row that breaks a rule of single rows, with the rules and
+    the row as JSON, and one row per key that breaks a uniqueness rule. Both are partitioned by suite and run date, and a
+    suite that runs again for a date replaces what it stored for it. Rows are masked before they get here: the suites
+    read curated tables.
+    """
+    part = f"suite={suite}/run_date={run_date}"
+    run_suite(df, rules).write.mode("overwrite").parquet(f"{folder}/results/{part}")
+    found = failing_rows(df, rules).select("broken_rules", F.to_json(F.struct(*df.columns)).alias("row"))
+    for rule in rules:
+        if rule.unique:
+            found = found.unionByName(duplicates(df, rule.unique).select(
+                F.array(F.lit(rule.name)).alias("broken_rules"), F.to_json(F.struct(rule.unique, "rows")).alias("row")))
+    found.write.mode("overwrite").parquet(f"{folder}/failures/{part}")
+    return df.sparkSession.read.parquet(f"{folder}/results/{part}")
+
+
 def payments_suite(as_of: str) -> list[Rule]:
     known = {c: F.col(c).isNotNull() for c in ("user_kyc_status", "user_age", "user_avg_amount_30d",
                                                "fraud_score_label")}

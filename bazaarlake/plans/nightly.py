@@ -16,7 +16,18 @@ class NotReady(RuntimeError):
     pass
 
 
-def run_payments(spark: SparkSession, registry: Registry, run_date: str, as_of: str) -> dict[str, int]:
+def judged_rows(registry: Registry, rows: DataFrame, suite: str, rules: list[quality.Rule] | None, run_date: str) -> DataFrame:
+    """`rows`, computed once. With rules the suite runs over them first, and an error-level failure raises: what has not
+    passed is not published. Results and failing rows are stored either way."""
+    if rules is None:
+        return rows
+    staged = checkpointed(rows)
+    quality.enforce(quality.store_results(staged, rules, suite, f"{registry.base}/quality", run_date))
+    return staged
+
+
+def run_payments(spark: SparkSession, registry: Registry, run_date: str, as_of: str,
+                 rules: list[quality.Rule] | None = None) -> dict[str, int]:
     """One ingestion day of payments: clean, keep latest, quarantine, refresh features, upsert.
 
     Features of older payments inside the 30-day reach of new ones are recomputed with them, so the result equals a
@@ -37,6 +48,7 @@ def run_payments(spark: SparkSession, registry: Registry, run_date: str, as_of:
         featured = payments.enrich(base)
     curated = payments.curated(featured.withColumn("reject_reason", F.lit(None).cast("string")).withColumn(
         "pii_anonymized_at", F.lit(as_of).cast("timestamp")), as_of)
+    curated = judged_rows(registry, curated, "payments", rules, run_date)
     for rows, path in ((curated, registry.path("silver.payments")), (base, base_path)):
         tables.upsert(spark, rows, path, ["transaction_id"], "event_date", ["user_id"], removed=withdrawn)
     return {"valid": kept, "rejected": rejected}
@@ -49,13 +61,13 @@ def run_clickstream(spark: SparkSession, registry: Registry, run_date: str) -> N
 
 
 def run_sessions(spark: SparkSession, registry: Registry, as_of: str, lookback_days: int = 3,
-                 full_refresh: bool = False) -> None:
+                 full_refresh: bool = False, rules: list[quality.Rule] | None = None, run_date: str | None = None) -> None:
     """Sessions with recent events, rebuilt whole; everything on the first run or on request."""
     bronze = registry.read(spark, "bronze.clickstream")
     first_run = not tables.exists(spark, registry.path("silver.sessions"))
     scope = bronze if full_refresh or first_run else sessions.touched_sessions(bronze, as_of, lookback_days)
-    tables.upsert(spark, sessions.build(scope, as_of), registry.path("silver.sessions"), ["session_id"],
-                  "session_date", ["session_id"])
+    built = judged_rows(registry, sessions.build(scope, as_of), "sessions", rules, run_date or as_of[:10])
+    tables.upsert(spark, built, registry.path("silver.sessions"), ["session_id"], "session_date", ["session_id"])
 
 
 def run_gold(spark: SparkSession, registry: Registry, as_of: str, catalogue: DataFrame,
@@ -102,13 +114,11 @@ def run(spark: SparkSession, registry: Registry, run_date: str, as_of: str, salt
     for name in ("bronze.payments", "bronze.clickstream", "bronze.crm"):
         if not is_ready(registry.read(spark, name), run_date):
             raise NotReady(f"{name} has no rows for {run_date}")
-    counts = run_payments(spark, registry, run_date, as_of)
+    counts = run_payments(spark, registry, run_date, as_of, quality.payments_suite(as_of))
     run_clickstream(spark, registry, run_date)
-    run_sessions(spark, registry, as_of)
+    run_sessions(spark, registry, as_of, rules=quality.sessions_suite(), run_date=run_date)
     people = checkpointed(crm_ops.build(of_day(registry.read(spark, "bronze.crm"), run_date), salt, as_of))
     tables.upsert(spark, people, registry.path("silver.crm"), ["user_id"], "customer_segment")
-    quality.enforce(quality.run_suite(registry.read(spark, "silver.payments"), quality.payments_suite(as_of)))
-    quality.enforce(quality.run_suite(registry.read(spark, "silver.sessions"), quality.sessions_suite()))
     run_gold(spark, registry, as_of, catalogue, merchants)
     facts = registry.read(spark, "gold.fact_orders")
     broken = gold.referential_integrity(facts, registry.read(spark, "gold.dim_customers"),

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from bazaarlake.operators import tables
+from bazaarlake.operators import quality, tables
 from bazaarlake.plans import bindings as B
 from bazaarlake.plans import nightly
 from bazaarlake.sources.readers import Registry
@@ -55,3 +55,18 @@ def test_whole_night(spark, tmp_path):
     assert scored.filter("fraud_decision = 'BLOCK' and fraud_probability < 0.8").isEmpty()
     assert registry.read(spark, "silver.clickstream").count() > 0
     assert "email" not in registry.read(spark, "silver.crm").columns
+
+
+def test_rows_that_fail_the_suite_are_stored_and_not_published(spark, tmp_path):
+    registry = Registry(str(tmp_path))
+    paid = B.payments(spark, SF).withColumn("amount", F.when(F.col("payment_method") == "paypal", 5e5).otherwise(5.0))
+    tables.append(dated(paid, 28), registry.path("bronze.payments"), ["year", "month", "day"])
+    for _ in range(2):
+        with pytest.raises(quality.QualityError, match="accepted_range_amount_eur"):
+            nightly.run_payments(spark, registry, "2024-02-28", B.AS_OF, quality.payments_suite(B.AS_OF))
+    assert not tables.exists(spark, registry.path("silver.payments"))
+    results = spark.read.parquet(f"{registry.base}/quality/results").filter("rule = 'accepted_range_amount_eur'").collect()
+    stored = spark.read.parquet(f"{registry.base}/quality/failures").filter("suite = 'payments'")
+    assert len(results) == 1 and results[0]["failed"] > 0
+    assert stored.filter("array_contains(broken_rules, 'accepted_range_amount_eur')").count() == results[0]["failed"]
+    assert stored.filter("row LIKE '%500000%'").count() > 0
