@@ -197,6 +197,7 @@ def payments_suite(as_of: str) -> list[Rule]:
              | (F.col("event_timestamp") > S.as_timestamp(as_of))),
         not_null("pii_anonymized_at", "warn"), not_null("silver_loaded_at"), column_absent("email"),
         column_absent("first_name"), column_exists("pii_anonymized_at"), row_count_between(1),
+        max_between("event_timestamp", "2020-01-01", as_of),
     ]
 
 

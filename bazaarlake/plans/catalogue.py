@@ -456,10 +456,33 @@ def referential_integrity(spark, sf):
 
 # Quality.
 
+def to_check(spark, sf):
+    return curated(spark, sf).withColumn("pii_anonymized_at", S.as_timestamp(AS_OF))
+
+
 @query
 def dq_payments_suite(spark, sf):
-    rows = curated(spark, sf).withColumn("pii_anonymized_at", S.as_timestamp(AS_OF))
-    return quality.run_suite(rows, quality.payments_suite(AS_OF))
+    return quality.run_suite(to_check(spark, sf), quality.payments_suite(AS_OF))
+
+
+def stored_checks(spark, sf):
+    """The folder with the results and failing rows of the payments suite."""
+    folder = scratch(spark, "quality")
+    rows = checkpointed(to_check(spark, sf))
+    quality.store_results(rows, quality.payments_suite(AS_OF), "payments", folder, "2024-03-01")
+    return folder
+
+
+@query
+def dq_stored_results(spark, sf):
+    return spark.read.parquet(f"{stored_checks(spark, sf)}/results").select("rule", "severity", "failed", "total", "status")
+
+
+@query
+def dq_stored_failures(spark, sf):
+    """How many stored rows break each rule."""
+    found = spark.read.parquet(f"{stored_checks(spark, sf)}/failures")
+    return found.select(F.explode("broken_rules").alias("rule")).groupBy("rule").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query

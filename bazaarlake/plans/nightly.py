@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlake.functions import scalars as S
 from bazaarlake.operators import crm as crm_ops
-from bazaarlake.operators import fraud, gold, payments, quality, sessions, tables
+from bazaarlake.operators import fraud, gold, kyc, payments, quality, sessions, tables
 from bazaarlake.session import checkpointed
+from bazaarlake.sources import claims
 from bazaarlake.sources.readers import Registry, is_ready, of_day
 
 
@@ -70,6 +73,26 @@ def run_sessions(spark: SparkSession, registry: Registry, as_of: str, lookback_d
     tables.upsert(spark, built, registry.path("silver.sessions"), ["session_id"], "session_date", ["session_id"])
 
 
+def run_documents(spark: SparkSession, registry: Registry, files: DataFrame, recognise: Callable[[DataFrame], DataFrame],
+                  run: str, as_of: str, batch: int = 50) -> dict[str, int]:
+    """One batch of identity documents: claim, read, decide, put the new status into the customers, finish.
+
+    `recognise` turns the claimed files (`path`) into recognised words (doc_id, user_id, seq, word, conf). The claims are
+    finished last, so a run that dies is repeated under its own name, or its files are given out again after the lease;
+    the same decisions put the same status. Documents in which nothing is recognised are marked failed.
+    """
+    folder = f"{registry.base}/documents/claims"
+    mine = checkpointed(claims.claim(spark, files, folder, run, as_of, batch))
+    words = checkpointed(recognise(mine))
+    checked = checkpointed(kyc.extract(kyc.assemble(words), as_of))
+    news = kyc.updates(registry.read(spark, "silver.crm"), checked)
+    tables.upsert(spark, news, registry.path("silver.crm"), ["user_id"], "customer_segment")
+    read = mine.join(words.select("doc_id").distinct(), F.col("path") == F.col("doc_id"), "left_semi")
+    claims.finish(spark, read, folder, run, as_of)
+    claims.finish(spark, mine, folder, run, as_of, "failed")  # those that are still claimed
+    return kyc.counters(checked).first().asDict()
+
+
 def run_gold(spark: SparkSession, registry: Registry, as_of: str, catalogue: DataFrame,
              merchants: DataFrame) -> None:
     """Dimensions, facts, daily KPIs, feature store and rule-based fraud scores; facts are written once and read

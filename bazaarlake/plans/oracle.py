@@ -353,6 +353,8 @@ ORACLES["dq_payments_suite"] = suite("checked", [
     ("column_absent_email", "error", "0"), ("column_absent_first_name", "error", "0"),
     ("column_exists_pii_anonymized_at", "error", "0"),
     ("row_count_between", "error", "CASE WHEN count(*) >= 1 THEN 0 ELSE 1 END"),
+    ("max_between_event_timestamp", "error", "CASE WHEN max(event_timestamp) BETWEEN TIMESTAMP '2020-01-01' "
+     f"AND TIMESTAMP '{B.AS_OF}' THEN 0 ELSE 1 END"),
 ], O.FEATURES + f", checked AS (SELECT *, count(DISTINCT billing_country_iso) OVER w AS countries FROM featured {W30})")
 ORACLES["dq_sessions_suite"] = suite("sessions", [
     *absent("session_id"), ("unique_session_id", "error", repeated("session_id", "sessions")), *absent("user_id"),
@@ -745,3 +747,6 @@ pairs AS (SELECT sum(CASE WHEN a.fraud_probability > b.fraud_probability THEN 1.
     (SELECT fraud_probability, count(*) AS n FROM scores WHERE NOT confirmed_fraud GROUP BY 1) b)
 SELECT round(sum(new_hits::DOUBLE / positives * hits / flagged), 6) AS average_precision,
   round(any_value(won) / any_value(positives * (total - positives))::DOUBLE, 6) AS roc_auc FROM curve, pairs"""
+ORACLES["dq_stored_failures"] = f"""SELECT rule, failed AS rows FROM ({ORACLES["dq_payments_suite"]})
+WHERE failed > 0 AND NOT regexp_matches(rule, '^(column_|row_count|max_between|unique_)')"""
+ORACLES["dq_stored_results"] = ORACLES["dq_payments_suite"]

@@ -32,7 +32,7 @@ def _version(spark: SparkSession, folder: str) -> int:
 
 
 def held(rows: DataFrame, at, lease_hours: int = LEASE_HOURS) -> DataFrame:
-    """Files that no run may take now: done, or claimed within the lease. Failed ones are free again."""
+    """Files that no run may take now: done, or claimed within the lease."""
     since = S.as_timestamp(at) - F.make_interval(hours=F.lit(lease_hours))
     return rows.filter((F.col("state") == "done") | ((F.col("state") == "claimed") & (F.col("claimed_at") > since)))
 
@@ -41,7 +41,8 @@ def claim(spark: SparkSession, files: DataFrame, folder: str, run: str, at, batc
           lease_hours: int = LEASE_HOURS) -> DataFrame:
     """The files (`path`) of this run: the `batch` oldest that are free, written to the ledger before they are returned.
 
-    A run that starts again under its own name gets the files that it holds already. Repeated paths count once. A run
+    A run that starts again under its own name gets the files that it holds already. Repeated paths count once. A file
+    that failed queues again as if it had come when it failed, so files that always fail do not block the others. A run
     that loses a race chooses again from the newer version; each loss means that another run has got its files.
     """
     while True:
@@ -52,6 +53,9 @@ def claim(spark: SparkSession, files: DataFrame, folder: str, run: str, at, batc
             return own.select("path")
         oldest = files.filter(F.col("path").isNotNull()).groupBy("path").agg(
             F.min("modificationTime").alias("modificationTime"))
+        failed = known.filter("state = 'failed'").select("path", "finished_at")
+        oldest = oldest.join(failed, "path", "left").withColumn(
+            "modificationTime", F.greatest("modificationTime", "finished_at")).drop("finished_at")
         at_ = S.as_timestamp(at)
         taken = checkpointed(pending_documents(oldest, batch, held(known, at, lease_hours)).select(
             "path", F.lit(run).alias("run"), F.lit("claimed").alias("state"), at_.alias("claimed_at"),

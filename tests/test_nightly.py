@@ -70,3 +70,25 @@ def test_rows_that_fail_the_suite_are_stored_and_not_published(spark, tmp_path):
     assert len(results) == 1 and results[0]["failed"] > 0
     assert stored.filter("array_contains(broken_rules, 'accepted_range_amount_eur')").count() == results[0]["failed"]
     assert stored.filter("row LIKE '%500000%'").count() > 0
+
+
+def test_documents_reach_the_customers_once(spark, tmp_path):
+    registry = Registry(str(tmp_path))
+    people = spark.createDataFrame([(f"USR-{k:06d}", "new", "none", 30) for k in range(8)],
+                                   "user_id string, customer_segment string, id_verification_status string, age int")
+    tables.upsert(spark, people, registry.path("silver.crm"), ["user_id"], "customer_segment")
+    files = spark.range(8).select(F.format_string("USR-%06d/id.jpg", "id").alias("path"), F.timestamp_seconds("id").alias("modificationTime"))
+    born = F.when(F.col("path") < "USR-000002", "01/02/2015").otherwise("01/02/1980")
+    text = F.concat(F.lit("NOM : DUPONT 1 PRENOM : Jean "), born, F.lit(" N° 123456789012"))
+
+    def recognise(mine):
+        return mine.filter("path <> 'USR-000005/id.jpg'").select(
+            F.col("path").alias("doc_id"), F.substring_index("path", "/", 1).alias("user_id"),
+            F.posexplode(F.split(text, " ")).alias("seq", "word"), F.lit(95).alias("conf"))
+
+    first = nightly.run_documents(spark, registry, files, recognise, "run-1", "2024-03-01 00:00:00", 6)
+    assert first["processed"] == 5 and first["restricted"] == 2
+    second = nightly.run_documents(spark, registry, files, recognise, "run-2", "2024-03-01 01:00:00", 6)
+    assert second["processed"] == 2, "two new ones; the unreadable one is tried again"
+    status = {r["user_id"][-1]: r["id_verification_status"] for r in registry.read(spark, "silver.crm").collect()}
+    assert status == {**{k: "verified" for k in "23467"}, "0": "restricted", "1": "restricted", "5": "none"}
