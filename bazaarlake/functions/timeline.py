@@ -20,6 +20,7 @@ from bazaarlake.functions.skew import routed
 
 _FIRST = Window.unboundedPreceding
 _CUBE = "decimal(38,0)"
+_EARLIEST = -(1 << 63)
 
 
 def _chunked(df: DataFrame, order: str, chunk: int) -> DataFrame:
@@ -104,7 +105,8 @@ def _running(df: DataFrame, key: str, order: str, width: int, values: dict[str,
     """The same sums for keys that fit one task: one shuffle on the key and work that is linear in its sorted rows.
 
     Every row arrives at `order` and leaves just after `order + width`; a running sum over both kinds of moves is the
-    window, and only arrivals are kept. Rows without `order` see each other and never leave.
+    window, and only arrivals are kept. Rows without `order` come first, see each other and leave before all others.
+    The key stays the column by which the rows lie, so a second window on it needs no shuffle of its own.
     """
     at, missing = F.col(order).cast("bigint"), F.col(order).isNull()
     mark = "_w"  # helpers beside the caller's columns start like none of these
@@ -117,14 +119,14 @@ def _running(df: DataFrame, key: str, order: str, width: int, values: dict[str,
         same = Window.partitionBy(key, column, missing).orderBy(order)
         opens = F.when(missing, F.row_number().over(same) == 1).otherwise(
             F.coalesce(F.col(order) - F.lag(order).over(same) > width, F.lit(True)))
-        closes = F.coalesce(F.lead(order).over(same) - F.col(order) > width, F.lit(True))
+        closes = F.when(missing, opens).otherwise(
+            F.coalesce(F.lead(order).over(same) - F.col(order) > width, F.lit(True)))
         seen = F.col(column).isNotNull()
         rows = rows.withColumns({f"{mark}opens_{name}": (seen & opens).cast("bigint"),
                                  f"{mark}closes_{name}": (seen & closes).cast("bigint")})
     arrive = F.struct(F.lit(1).alias("sign"), at.alias("at"))
-    leave = F.struct(F.lit(-1).alias("sign"), (at + F.lit(width + 1)).alias("at"))
-    both = F.when(missing, F.array(arrive)).otherwise(F.array(arrive, leave))
-    moved = rows.withColumn(f"{mark}move", F.explode(both))
+    leave = F.struct(F.lit(-1).alias("sign"), F.coalesce(at + F.lit(width + 1), F.lit(_EARLIEST)).alias("at"))
+    moved = rows.withColumn(f"{mark}move", F.explode(F.array(arrive, leave)))
     sign = F.col(f"{mark}move.sign")
     moves = {n: F.when(sign == 1, v).otherwise(-v) for n, v in values.items()}
     # A window without any value has no sum: how many values are there travels along.
@@ -136,10 +138,11 @@ def _running(df: DataFrame, key: str, order: str, width: int, values: dict[str,
     line = moved.select(
         F.col(key).alias("_of"), sign.alias("_sign"), F.col(f"{mark}move.at").alias("_at"),
         F.when(sign == 1, F.struct(*kept)).alias("_row"), *[m.alias(f"_moved_{n}") for n, m in moves.items()])
-    along = Window.partitionBy("_of", F.col("_at").isNull()).orderBy("_at").rangeBetween(_FIRST, 0)
-    state = line.select("_row", "_sign", *[F.sum(f"_moved_{n}").over(along).alias(f"_sum_{n}") for n in moves]).filter("_sign = 1")
+    along = Window.partitionBy("_of").orderBy("_at").rangeBetween(_FIRST, 0)
+    state = line.select("_of", "_row", "_sign", *[F.sum(f"_moved_{n}").over(along).alias(f"_sum_{n}") for n in moves]).filter("_sign = 1")
     sums = {n: F.when(F.col(f"_sum_{held[n]}") > 0, F.col(f"_sum_{n}")) if n in held else F.col(f"_sum_{n}") for n in values}
-    return state.select(*[F.col("_row")[c].alias(c) for c in kept], *[s.cast(_CUBE).alias(n) for n, s in sums.items()],
+    own = [F.col("_of").alias(c) if c == key else F.col("_row")[c].alias(c) for c in kept]
+    return state.select(*own, *[s.cast(_CUBE).alias(n) for n, s in sums.items()],
                         *[F.col(f"_sum_{n}").cast("bigint").alias(n) for n in distinct])
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from bazaarlake import constants as C
 from bazaarlake.functions import scalars as S
 from bazaarlake.functions.ranking import add_ntiles
+from bazaarlake.functions.skew import hot_keys
 from bazaarlake.functions.timeline import trailing
 from bazaarlake.operators import payments as P
 
@@ -163,12 +164,13 @@ def kpi_daily(facts: DataFrame) -> DataFrame:
     )
 
 
-def feature_store(facts: DataFrame, **options) -> DataFrame:
+def feature_store(facts: DataFrame, hot: DataFrame | list | str | None = None, **options) -> DataFrame:
     """Point-in-time features, one row per labelled payment.
 
     The short windows are exact to the microsecond; the 30-day figures are at day grain, so all payments of a day
-    see the whole day.
+    see the whole day. Heavy users are searched once for all windows if `hot` does not name them.
     """
+    options["hot"] = hot_keys(facts.select("user_id"), "user_id") if hot is None else hot
     counted = P.velocity(P.velocity(facts, 300, "txn_count_5min", **options), 3_600, "txn_count_1h", **options)
     cents = (F.col("amount_eur") * 100).cast("bigint")
     daily = trailing(

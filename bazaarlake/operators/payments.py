@@ -185,9 +185,11 @@ def curated(df: DataFrame, loaded_at) -> DataFrame:
     ])
 
 
-def build(bronze: DataFrame, loaded_at, **options) -> DataFrame:
+def build(bronze: DataFrame, loaded_at, hot: DataFrame | list | None = None, min_rows: int = HOT_ROWS) -> DataFrame:
+    """The curated table. Heavy users are searched in one column of the raw rows, which hold all valid ones."""
     valid, _ = split(clean(latest(bronze)))
-    return curated(enrich(valid, **options), loaded_at)
+    keys = hot_keys(bronze.select("user_id"), "user_id", min_rows) if hot is None else hot
+    return curated(enrich(valid, hot=keys), loaded_at)
 
 
 def refresh(history: DataFrame, new: DataFrame, withdrawn: DataFrame | None = None, older: DataFrame | None = None,

@@ -55,8 +55,16 @@ def valid(spark, sf):
     return P.split(clean(spark, sf))[0]
 
 
-def curated(spark, sf):
-    return P.curated(P.enrich(valid(spark, sf)), AS_OF)
+def heavy_users(spark, sf):
+    """Users with many messages, by one scan of one column.
+
+    Cleaning only takes messages away and leaves `user_id` as it is, so no heavy user of a later table is missed.
+    """
+    return hot_keys(B.payments(spark, sf).select("user_id"), "user_id")
+
+
+def curated(spark, sf, heavy=None):
+    return P.curated(P.enrich(valid(spark, sf), hot=heavy_users(spark, sf) if heavy is None else heavy), AS_OF)
 
 
 def silver_crm(spark, sf):
@@ -81,8 +89,13 @@ def parcels(spark, sf):
     return logistics.clean(B.logistics(spark, sf))
 
 
-def facts(spark, sf, statuses=("success",)):
-    return facts_from(spark, sf, curated(spark, sf), statuses)
+def facts(spark, sf, statuses=("success",), heavy=None):
+    return facts_from(spark, sf, curated(spark, sf, heavy), statuses)
+
+
+def labelled_features(spark, sf):
+    heavy = heavy_users(spark, sf)
+    return gold.feature_store(facts(spark, sf, ("success", "blocked"), heavy), hot=heavy)
 
 
 def facts_from(spark, sf, paid, statuses=("success",)):
@@ -103,9 +116,8 @@ def enriched_payments(spark, sf):
 
     Rules, scores and reports all read the rows, so they are stored once instead of computed per reader.
     """
-    rows = valid(spark, sf)
-    heavy = hot_keys(rows.select("user_id"), "user_id")
-    return checkpointed(P.enrich(rows, hot=heavy)), heavy
+    heavy = heavy_users(spark, sf)
+    return checkpointed(P.enrich(valid(spark, sf), hot=heavy)), heavy
 
 
 def rule_hits(spark, sf):
@@ -209,7 +221,7 @@ _DISTINCT = {"user_distinct_countries_30d": "shipping_country_iso", "user_distin
 
 @query
 def user_rolling_30d(spark, sf):
-    return P.trailing_month(valid(spark, sf)).select(*_MONTH)
+    return P.trailing_month(valid(spark, sf), hot=heavy_users(spark, sf)).select(*_MONTH)
 
 
 @query
@@ -220,7 +232,8 @@ def user_rolling_30d_swept(spark, sf):
 
 @query
 def user_distinct_30d(spark, sf):
-    return P.trailing_month(valid(spark, sf), _DISTINCT).select("transaction_id", *_DISTINCT)
+    return P.trailing_month(valid(spark, sf), _DISTINCT, hot=heavy_users(spark, sf)).select(
+        "transaction_id", *_DISTINCT)
 
 
 @query
@@ -233,12 +246,14 @@ def user_distinct_30d_swept(spark, sf):
 def velocity_5min_1h(spark, sf):
     purchases = B.table(spark, sf, "events").select(
         "event_id", "user_id", F.col("ts").cast("timestamp").alias("event_timestamp"))
-    return P.velocity(P.velocity(purchases, 300, "events_5min"), 3_600, "events_1h").drop("event_timestamp")
+    heavy = hot_keys(purchases.select("user_id"), "user_id")
+    return P.velocity(P.velocity(purchases, 300, "events_5min", hot=heavy), 3_600, "events_1h", hot=heavy).drop(
+        "event_timestamp")
 
 
 @query
 def first_transaction(spark, sf):
-    return P.first_transaction(valid(spark, sf)).select("transaction_id", "user_id", "is_first_transaction")
+    return P.first_transaction(valid(spark, sf), hot=heavy_users(spark, sf)).select("transaction_id", "user_id", "is_first_transaction")
 
 
 @query
@@ -440,7 +455,7 @@ def kpi_daily(spark, sf):
 
 @query
 def feature_store(spark, sf):
-    return gold.feature_store(facts(spark, sf, ("success", "blocked"))).drop(
+    return labelled_features(spark, sf).drop(
         "is_new_card", "fraud_score_label", "geo_distance_km", "event_timestamp")
 
 
@@ -776,7 +791,7 @@ def document_claims(spark, sf):
 # Model.
 
 def labelled(spark, sf):
-    return gold.feature_store(facts(spark, sf, ("success", "blocked")))
+    return labelled_features(spark, sf)
 
 
 @query

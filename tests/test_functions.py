@@ -161,3 +161,22 @@ def test_library_works_without_a_package_of_the_optional_folder():
             "import __spark_entry__ as e; q = e.queries(); assert 'silver_payments' in q and 'op3_decontamination' not in q")
     done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=__file__.rsplit("/", 2)[0])
     assert done.returncode == 0, done.stderr
+
+
+def test_windows_on_one_key_share_one_shuffle(spark, rows, plan):
+    df = spark.createDataFrame([(i % 7, i * 13 % 50 if i % 11 else None, i) for i in range(300)], "u int, t long, v long")
+    first = timeline.trailing(df, "u", "t", 5, {"a": F.lit(1)}, hot=[])
+    second = timeline.trailing(first.withColumn("s", F.col("t") * 2), "u", "s", 20, {"b": F.col("v")}, hot=[])
+    assert plan(second).count("Exchange hashpartitioning") == 1
+    data = [(i % 7, i * 13 % 50 if i % 11 else None, i) for i in range(300)]
+
+    def near(t, other, width):
+        return (t is None and other is None) or (t is not None and other is not None and 0 <= t - other <= width)
+
+    want = sorted((v, sum(w[0] == u and near(t, w[1], 5) for w in data),
+                   sum(w[2] for w in data if w[0] == u and near(t, w[1], 10))) for u, t, v in data)
+    assert sorted((r["v"], int(r["a"]), int(r["b"])) for r in second.collect()) == want
+
+
+def test_hot_keys_of_even_keys_are_an_empty_list(spark):
+    assert skew.hot_keys(spark.range(20), "id", min_rows=1) == []
