@@ -2,12 +2,13 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from bazaarlake.functions import timeline
-from bazaarlake.operators import fraud
-from bazaarlake.operators import payments as P
+from bazaarlake.operators import fraud, training
+from bazaarlake.streaming import jobs
 
 
 def timed(spark, n=300, users=7, seed=3):
@@ -30,3 +31,63 @@ def test_windows_inside_lying_rows_need_no_shuffle(spark, rows, plan):
     together = timeline.trailing(df.repartition("u"), "actor", "t", 10, {"s": F.col("v")}, {"d": "c"}, hot=[], lies="u")
     assert plan(together).count("Exchange") == 1
     assert rows(together, *apart.columns) == rows(apart, *apart.columns)
+
+
+@pytest.mark.parametrize("chunk", [3, 40])
+def test_swept_rows_are_read_once_and_equal_the_plain_route(spark, rows, chunk):
+    df = timed(spark).withColumn("bulk", F.upper("wide"))
+    values, distinct = {"s": F.nullif(F.col("v"), F.lit(4)), "n": F.lit(1)}, {"d": "c", "e": "v"}
+    plain = timeline.trailing(df, "u", "t", 10, values, distinct, hot=[])
+    swept = timeline.trailing(df, "u", "t", 10, values, distinct, chunk=chunk, hot="all")
+    assert rows(swept, *plain.columns) == rows(plain, *plain.columns)
+    assert "upper" not in swept._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_neighbours_need_no_join(spark, rows, plan):
+    df = timed(spark).filter("u is not null and t is not null").select("u", "t").distinct()
+    got = timeline.neighbours(df, ["u"], "t", 5)
+    assert "Join" not in plan(got)
+    want = []
+    for u in {r[0] for r in rows(df)}:
+        line = sorted(t for v, t in rows(df) if v == u)
+        want += [(u, t, line[k - 1] if k else None, line[k + 1] if k + 1 < len(line) else None) for k, t in enumerate(line)]
+    assert rows(got, "u", "t", "_prev", "_next") == sorted(want, key=repr)
+
+
+def test_keys_of_one_slot_are_counted_apart(spark, tmp_path, rows):
+    random.seed(5)
+    made = [(k, random.choice([None, "a", "b", "c", "d"]), 1_700_000_000 + random.randrange(200_000) // 7) for k in range(400)]
+    events = spark.createDataFrame(made, "id long, u string, s long").select("id", "u", F.timestamp_seconds("s").alias("ts"))
+    events.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(events.schema).parquet(str(tmp_path / "in"))
+    counted = jobs.exact_velocity(stream, "u", "ts", "id", 300, bucket_seconds=3_600, slots=2)
+    jobs.start_append(counted, str(tmp_path / "out"), str(tmp_path / "state"), partition=()).awaitTermination()
+    want = [(i, u, sum(1 for _, v, r in made if v == u and s - 300 <= r <= s)) for i, u, s in made]
+    assert rows(spark.read.parquet(str(tmp_path / "out")), "id", "u", "velocity") == sorted(want, key=repr)
+
+
+def test_scores_are_computed_once_for_a_curve(spark):
+    scored = spark.createDataFrame([(0.5, 1.0), (0.2, 0.0), (0.5, 0.0)], "p double, label double").withColumn(
+        "fraud_probability", F.abs("p"))
+    text = training.precision_recall(scored)._jdf.queryExecution().optimizedPlan().toString()
+    assert "abs(" not in text
+
+
+def test_rules_take_bursts_that_are_there(spark, plan):
+    made = [(f"t{k}", f"u{k % 3}", "m", 9.0, "FR", "FR", "FR", "1.1.1.1", "d", None, k, False, False, 30, "verified", False,
+             False, 1.0, 1, 1, False, 5, 3) for k in range(6)]
+    names = [*fraud.JUDGED, "burst_count", "burst_merchants"]
+    df = spark.createDataFrame([dict(zip(names, r)) for r in made], ", ".join(
+        f"{n} {k}" for n, k in zip(names, ["string"] * 3 + ["double"] + ["string"] * 5 + ["date", "long", "boolean", "boolean", "int",
+                                                                         "string", "boolean", "boolean", "double", "long", "long", "boolean", "long", "long"])))
+    df = df.withColumn("event_timestamp", F.timestamp_seconds("event_timestamp"))
+    hits = fraud.rules(df.filter("amount_eur > 8"), hot=[])
+    assert {r["rule"] for r in hits.collect()} == {"velocity_attack"}
+
+
+def test_a_chain_takes_texts_one_by_one():
+    toxicity = pytest.importorskip("bazaarlake.llm.toxicity")
+    texts = [{"bad", "word", "one"} if k % 2 else {"good", "word", "two"} for k in range(40)] + [set()]
+    labels = np.array([[k % 2 == 1] for k in range(40)] + [[False]])
+    chain = toxicity.Chain((t for t in texts), labels)
+    assert (chain.predict(["bad one", "good two"])[:, -1] >= chain.threshold).tolist() == [True, False]
