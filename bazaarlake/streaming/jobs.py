@@ -72,15 +72,13 @@ def sliding_velocity(events: DataFrame, key: str, at: str, width: str = "5 minut
     ).select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), key, "events")
 
 
-_VELOCITY_STATE = T.StructType([T.StructField("times", T.ArrayType(T.LongType()))])
-
-
 def exact_velocity(events: DataFrame, key: str, at: str, id_column: str, seconds: int = 300,
-                   watermark: str = "10 minutes", bucket_seconds: int = 86_400) -> DataFrame:
+                   watermark: str = "10 minutes", bucket_seconds: int = 86_400, slots: int = 1_024) -> DataFrame:
     """Each event with the number of events of its key in the last `seconds`, itself included.
 
-    State is keyed by (key, time bucket), so a replay spreads a heavy key over as many tasks as it has buckets. An
-    event near the end of its bucket is also history of the next one. A state holds the times that a later event
+    State is held by (slot of keys, time bucket): keys share `slots` hashed slots, and all keys of a state are counted
+    at once, so the calls do not grow with the keys. A replay spreads a heavy key over as many tasks as it has buckets.
+    An event near the end of its bucket is also history of the next one. A state holds the times that a later event
     may still count, those within `seconds` of the watermark, and ends with its bucket. Within a micro-batch all
     events are seen before counting, so their order does not matter; an event that comes in a later batch than its
     successors does not change what was already emitted.
@@ -88,26 +86,35 @@ def exact_velocity(events: DataFrame, key: str, at: str, id_column: str, seconds
     width, length = seconds * 1_000_000, bucket_seconds * 1_000_000
     if length < width:
         raise ValueError("a bucket must be at least as long as the counted period")
-    out = T.StructType([T.StructField(key, events.schema[key].dataType), T.StructField(id_column, events.schema[
+    kind = events.schema[key].dataType
+    out = T.StructType([T.StructField(key, kind), T.StructField(id_column, events.schema[
         id_column].dataType), T.StructField("velocity", T.LongType())])
+    held = T.StructType([T.StructField("keys", T.ArrayType(kind)), T.StructField("times", T.ArrayType(T.LongType()))])
 
     def count(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        kept = np.array(state.get[0] if state.exists else [], dtype="int64")
+        old_keys, old_times = state.get if state.exists else ([], [])
         rows = pd.concat(list(batches), ignore_index=True)
-        times = np.sort(np.concatenate([kept, rows["_micros"].to_numpy(dtype="int64")]))
-        own = rows[rows["_own"]]
-        at = own["_micros"].to_numpy(dtype="int64")
-        inside = np.searchsorted(times, at, "right") - np.searchsorted(times, at - width, "left")
+        keys = pd.Series([*old_keys, *rows[key].tolist()], dtype=object)
+        code = pd.factorize(keys, use_na_sentinel=False)[0].astype("int64")
+        times = np.concatenate([np.array(old_times, dtype="int64"), rows["_micros"].to_numpy(dtype="int64")])
+        # Key and rank of the time in one number: a key's events between two times are a range of the sorted numbers.
+        known, rank = np.unique(times, return_inverse=True)
+        line = np.sort(code * (len(known) + 1) + rank)
+        own = rows["_own"].to_numpy(dtype=bool)
+        first, at = code[len(old_times):][own] * (len(known) + 1), times[len(old_times):][own]
+        inside = (np.searchsorted(line, first + np.searchsorted(known, at, "right"), "left")
+                  - np.searchsorted(line, first + np.searchsorted(known, at - width, "left"), "left"))
         end_ms, seen_ms = (int(group[1]) + 1) * length // 1_000, state.getCurrentWatermarkMs()
         if end_ms > seen_ms:
-            state.update((times[times >= seen_ms * 1_000 - width].tolist(),))
+            stay = times >= seen_ms * 1_000 - width
+            state.update((keys[stay].tolist(), times[stay].tolist()))
             state.setTimeoutTimestamp(end_ms)
         elif state.exists:
             state.remove()
-        yield pd.DataFrame({key: group[0], id_column: own[id_column], "velocity": inside.astype("int64")})
+        yield pd.DataFrame({key: rows[key][own], id_column: rows[id_column][own], "velocity": inside.astype("int64")})
 
     timed = events.withWatermark(at, watermark).withColumn("_micros", F.unix_micros(at))
     bucket = F.floor(F.col("_micros") / F.lit(length))
@@ -115,8 +122,10 @@ def exact_velocity(events: DataFrame, key: str, at: str, id_column: str, seconds
     copies = F.inline(F.array_compact(F.array(
         F.struct(bucket.alias("_bucket"), F.lit(True).alias("_own")),
         F.when(carried, F.struct((bucket + 1).alias("_bucket"), F.lit(False).alias("_own"))))))
-    return timed.select(key, at, id_column, "_micros", copies).groupBy(key, "_bucket").applyInPandasWithState(
-        count, out, _VELOCITY_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    # Events without a key are counted together, apart from all keys.
+    slot = F.when(F.col(key).isNull(), -1).otherwise(F.pmod(F.xxhash64(key), F.lit(slots))).alias("_slot")
+    return timed.select(key, at, id_column, "_micros", slot, copies).groupBy("_slot", "_bucket").applyInPandasWithState(
+        count, out, held, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def session_stream(events: DataFrame, key: str, at: str, gap: str = "30 minutes",
