@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import pickle
 import re
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -87,26 +88,34 @@ class Linear:
 class Chain:
     """Linear models in the order of their categories, and the threshold of the last one, which decides."""
 
-    def __init__(self, texts: list[set[str]], labels: np.ndarray, folds: int = FOLDS):
-        known = {w: features_of(w) for w in set().union(*texts)}
-        columns = np.array([known[w] for ws in texts for w in sorted(ws)], np.int64).ravel()
-        rows = np.repeat(np.arange(len(texts)), [2 * len(ws) for ws in texts])
-        fold = np.array([xxhash.xxh32_intdigest(" ".join(sorted(ws))) % folds for ws in texts], np.int64)  # copies together
-        before = np.zeros((len(texts), 0))
+    def __init__(self, texts: Iterable[set[str]], labels: np.ndarray, folds: int = FOLDS):
+        """Each text is turned into numbers as it comes, so that the words of only one text are held."""
+        known, number, size, fold = {}, [], [], []
+        for ws in texts:
+            words = sorted(ws)
+            number.append(np.array([known.setdefault(w, len(known)) for w in words], np.int32))
+            size.append(2 * len(words))
+            fold.append(xxhash.xxh32_intdigest(" ".join(words)) % folds)  # copies together
+        pair = np.array([features_of(w) for w in known], np.int64).reshape(-1, 2)
+        del known
+        columns = pair[np.concatenate(number)].ravel() if number else pair.ravel()
+        del number
+        rows, fold = np.repeat(np.arange(len(size)), size), np.array(fold, np.int64)
+        before = np.zeros((len(size), 0))
         self.models = []
         for target in labels.T.astype(np.float64):
-            unseen = np.zeros(len(texts))
+            unseen = np.zeros(len(size))
             for k in range(folds):
                 held = fold == k
                 part = ~held
                 renumber = np.cumsum(part) - 1
                 inside = part[rows]
                 model = Linear().fit(renumber[rows[inside]], columns[inside], before[part], target[part])
-                sums = np.bincount(rows, model.weights[columns], minlength=len(texts))
+                sums = np.bincount(rows, model.weights[columns], minlength=len(size))
                 unseen[held] = model.chance(sums, before)[held]
             self.models.append(Linear().fit(rows, columns, before, target))
             before = np.column_stack([before, unseen])
-        self.threshold = self._best(before[:, -1], labels[:, -1]) if len(texts) else 1.0
+        self.threshold = self._best(before[:, -1], labels[:, -1]) if size else 1.0
         self.weights = np.column_stack([m.weights for m in self.models]).astype(np.float32)
         for model in self.models:
             del model.weights
@@ -165,7 +174,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id_
     names = list(categories)
 
     def words(batches):
-        for batch in batches:
+        for batch in pieces(batches, SLICE_BYTES, "_text"):
             made = ["\n".join(sorted(words_of(t))) for t in batch.column("_text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_key"), pa.array(made, pa.string()), *[batch.column(n) for n in names]],
@@ -178,7 +187,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id_
     def fit(table: pa.Table) -> pa.Table:
         table = table.sort_by([("_key", "ascending"), ("words", "ascending")])
         labelled = np.column_stack([table[n].to_numpy(zero_copy_only=False) for n in names])
-        chain = Chain([set(w.split("\n")) - {""} for w in table["words"].to_pylist()], labelled)
+        chain = Chain((set(w.as_py().split("\n")) - {""} for w in table["words"]), labelled)
         return pa.table({"chain": pa.array([cloudpickle.dumps(chain)], pa.binary())})
 
     once = distinct.groupBy("_key").agg(F.min(F.struct("words", *names)).alias("_row")).select("_key", "_row.*")
