@@ -6,8 +6,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from bazaarlake.functions import timeline
-from bazaarlake.operators import fraud, training
+from bazaarlake.functions import skew, timeline
+from bazaarlake.operators import fraud, payments, training
+from bazaarlake.plans import bindings as B
 from bazaarlake.streaming import jobs
 
 
@@ -91,3 +92,38 @@ def test_a_chain_takes_texts_one_by_one():
     labels = np.array([[k % 2 == 1] for k in range(40)] + [[False]])
     chain = toxicity.Chain((t for t in texts), labels)
     assert (chain.predict(["bad one", "good two"])[:, -1] >= chain.threshold).tolist() == [True, False]
+
+
+def test_windows_double_no_row(spark, rows, plan):
+    df = timed(spark).filter("u is not null")
+    got = timeline.trailing(df, "u", "t", 10, {"s": F.col("v"), "n": F.lit(1)}, {"d": "c"}, hot=[])
+    assert "Generate" not in plan(got)
+    swept = timeline.trailing(df, "u", "t", 10, {"s": F.col("v"), "n": F.lit(1)}, {"d": "c"}, hot="all", chunk=7)
+    assert rows(got, *swept.columns) == rows(swept)
+
+
+def test_the_payments_table_moves_its_payload_as_one(spark, rows, plan):
+    made = spark.range(60).select(
+        F.concat(F.lit("t"), F.col("id") % 50).alias("transaction_id"), F.concat(F.lit("u"), F.col("id") % 3).alias("user_id"),
+        (F.col("id") - 2).cast("double").alias("amount"), F.lit("EUR").alias("currency"), F.lit("paypal").alias("payment_method"),
+        F.lit("p").alias("product_id"), F.lit("FR").alias("billing_country"), F.lit("be").alias("shipping_country"),
+        F.lit("FR").alias("ip_country_inferred"), F.lit(True).alias("is_new_merchant"), F.lit("verified").alias("user_kyc_status"),
+        F.lit(17).alias("user_age"), F.concat(F.lit("2024-01-"), 10 + F.col("id") % 15, F.lit("T10:00:00Z")).alias("timestamp"),
+        F.concat(F.lit("m"), F.col("id") % 4).alias("merchant_id"), (F.col("id") % 9 == 0).alias("fraud_label_ground_truth"),
+        F.lit("none").alias("fraud_scenario_label"), F.lit("o").alias("order_id"), F.lit("unread").alias("device"),
+        F.timestamp_seconds("id").alias("ingested_at"))
+    got = payments.build(made, "2024-03-01", hot=[])
+    text = plan(got)
+    assert text.count("Exchange hashpartitioning") == 2 and "_rest" in text and "Generate" not in text and "unread" not in text
+    apart = payments.curated(payments.enrich(payments.split(payments.clean(payments.latest(made)))[0], hot=[]), "2024-03-01")
+    assert rows(got) == rows(apart, *got.columns) and got.count() > 40
+
+
+def test_heavy_users_are_found_without_the_messages(spark, tmp_path, plan):
+    sf = str(tmp_path)
+    spark.range(40).select(F.col("id").alias("o_orderkey"), (F.col("id") % 4).alias("o_custkey")).write.parquet(f"{sf}/orders.parquet")
+    spark.range(200).select(F.when(F.col("id") < 120, 4).otherwise(F.col("id") % 50).alias("l_orderkey")).write.parquet(
+        f"{sf}/lineitem.parquet")
+    found = skew.hot_keys(B.payment_users(spark, sf), "user_id", 100, rows="rows")
+    assert [r["user_id"] for r in found.collect()] == ["USR-000000"]
+    assert skew.hot_keys(B.payment_users(spark, sf), "user_id", 200, rows="rows") == []
