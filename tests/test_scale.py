@@ -6,9 +6,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from bazaarlake import constants as C
 from bazaarlake.functions import skew, timeline
-from bazaarlake.operators import fraud, payments, training
+from bazaarlake.operators import fraud, ml, payments, training
 from bazaarlake.plans import bindings as B
+from bazaarlake.session import checkpointed
 from bazaarlake.streaming import jobs
 
 
@@ -127,3 +129,18 @@ def test_heavy_users_are_found_without_the_messages(spark, tmp_path, plan):
     found = skew.hot_keys(B.payment_users(spark, sf), "user_id", 100, rows="rows")
     assert [r["user_id"] for r in found.collect()] == ["USR-000000"]
     assert skew.hot_keys(B.payment_users(spark, sf), "user_id", 200, rows="rows") == []
+
+
+def test_trees_read_rows_that_are_stored_coded(spark, monkeypatch):
+    made = [(f"t{i}", i % 3 == 0, float(i % 3), "a" if i % 2 else "b", None if i % 7 == 0 else float(i)) for i in range(300)]
+    df = spark.createDataFrame(made, "transaction_id string, is_fraud boolean, amount_eur double, "
+                                     f"{C.CATEGORICAL_FEATURES[0]} string, geo_distance_km double").withColumns(
+        {c: F.hash(F.lit(c), "transaction_id") % 10 + 0.5 for c in C.NUMERIC_FEATURES if c not in ("amount_eur", "geo_distance_km")})
+    stored = []
+    monkeypatch.setattr(ml, "checkpointed", lambda d: (stored.append(d.columns), checkpointed(d))[1])
+    model, rows = ml.train(df, max_iter=3, max_depth=2)
+    assert stored == [["features", ml.LABEL, "weight", "is_test"]]
+    whole = ml.build_pipeline(max_iter=3, max_depth=2).fit(rows)
+    picked = [sorted((r["transaction_id"], round(r["fraud_probability"], 9)) for r in ml.score(m, df, "2024-03-01", "x").collect())
+              for m in (model, whole)]
+    assert picked[0] == picked[1]
