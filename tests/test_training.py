@@ -5,6 +5,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from bazaarlake import constants as C
 from bazaarlake.functions.ranking import running_totals
 from bazaarlake.operators import ml, snapshots, training
 from bazaarlake.sources import claims
@@ -36,6 +37,21 @@ def test_codes_keep_the_commonest_values(spark):
     assert {r["value"]: r["code"] for r in training.codes(df, ["v"], 2).collect()} == {"a": 1, "b": 2}
 
 
+def test_no_category_is_left_without_a_code(spark):
+    df = spark.range(2_500).select(F.format_string("v%05d", "id").alias(C.CATEGORICAL_FEATURES[0]), *(
+        F.lit(None).cast("string").alias(c) if i else F.lit("it's \\ odd").alias(c)
+        for i, c in enumerate(C.CATEGORICAL_FEATURES[1:])), *(F.lit(1.0).alias(c) for c in C.NUMERIC_FEATURES),
+        *(F.lit(0.0).alias(c) for c in C.BINARY_FEATURES))
+    name = C.CATEGORICAL_FEATURES[0]
+    got = {r["value"]: r["code"] for r in training.codes(df, [name]).collect()}
+    assert got == {f"v{i:05d}": i + 1 for i in range(2_500)}
+    out = PipelineModel(stages=training.encoder(df)).transform(df.union(df.limit(1).withColumn(name, F.lit("new"))))
+    seen = {r[name]: (r[f"{name}_code"], r["features"][8], r["features"][9]) for r in out.collect()}
+    assert seen == {**{v: (float(k), 1.0, 0.0) for v, k in got.items()}, "new": (0.0, 1.0, 0.0)}
+    few = PipelineModel(stages=training.encoder(df.union(df.filter(F.col(name) > "v02489")), 10)).transform(df)
+    assert few.filter(F.col(f"{name}_code") > 0).count() == 10
+
+
 def brute_metrics(pairs):
     positives = sum(y for _, y in pairs)
     average = 0.0
