@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bazaarlake.operators.tables import check_unique, merged, spread
-from bazaarlake.session import checkpointed
+from bazaarlake.session import checkpointed, released
 
 BUCKETS = 64
 _NULL = "__HIVE_DEFAULT_PARTITION__"
@@ -116,7 +116,8 @@ def publish(spark: SparkSession, rows: DataFrame, path: str, partition: str, rep
     if expected is not None and expected != (before.version if before else 0):
         raise Conflict(f"{path} is no longer at version {expected}")
     snapshot = uuid.uuid4().hex
-    spread(rows, partition, sort).write.partitionBy(partition).parquet(f"{path}/data/snapshot={snapshot}")
+    with released(spark):
+        spread(rows, partition, sort).write.partitionBy(partition).parquet(f"{path}/data/snapshot={snapshot}")
     fresh = {n: snapshot for n in _names(spark, f"{path}/data/snapshot={snapshot}") if "=" in n}
     kept = {} if before is None or replace is None else {
         f: s for f, s in before.folders.items() if f not in folder_of(replace, partition)}
@@ -136,8 +137,9 @@ def _bucket(keys: list[str]) -> Column:
 
 
 def _remember(rows: DataFrame, path: str, keys: list[str], partition: str) -> None:
-    rows.select(*keys, F.col(partition).alias("_in"), _bucket(keys).alias("bucket")).distinct().repartition(
-        "bucket").write.mode("append").partitionBy("bucket").parquet(f"{path}/index")
+    with released(rows.sparkSession):
+        rows.select(*keys, F.col(partition).alias("_in"), _bucket(keys).alias("bucket")).distinct().repartition(
+            "bucket").write.mode("append").partitionBy("bucket").parquet(f"{path}/index")
 
 
 def partitions_of(spark: SparkSession, wanted: DataFrame, path: str, keys: list[str]) -> DataFrame:

@@ -1,6 +1,7 @@
 """What steps move and store: columns that nobody reads stay behind, and rows that lie together are not moved again."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -144,3 +145,32 @@ def test_trees_read_rows_that_are_stored_coded(spark, monkeypatch):
     picked = [sorted((r["transaction_id"], round(r["fraud_probability"], 9)) for r in ml.score(m, df, "2024-03-01", "x").collect())
               for m in (model, whole)]
     assert picked[0] == picked[1]
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_stored_step_lets_go_of_its_shuffles(spark):
+    before = shuffle_files(spark)
+    moved = spark.range(5_000).groupBy((F.col("id") % 900).alias("k")).count()
+    kept = checkpointed(moved)
+    for _ in range(50):  # files go in the background
+        left = shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+    assert kept.count() == moved.count() == 900, "both can still be read"
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_messages_are_delivered_in_many_files(spark, tmp_path):
+    base = str(tmp_path)
+    spark.range(90).repartition(3).withColumn("part", F.col("id") % 2).write.partitionBy("part").parquet(f"{base}/staged")
+    for part in range(2):
+        B.deliver(spark, base, part)
+        got = spark.read.parquet(f"{base}/topic")
+        assert {r["id"] for r in got.collect()} == {i for i in range(90) if i % 2 <= part}
+        assert len(got.inputFiles()) == 3 * (part + 1)
