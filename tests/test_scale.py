@@ -11,6 +11,7 @@ from bazaarlake import constants as C
 from bazaarlake.functions import skew, timeline
 from bazaarlake.operators import fraud, ml, payments, training
 from bazaarlake.plans import bindings as B
+from bazaarlake.plans import catalogue
 from bazaarlake.session import checkpointed
 from bazaarlake.streaming import jobs
 
@@ -174,3 +175,53 @@ def test_messages_are_delivered_in_many_files(spark, tmp_path):
         got = spark.read.parquet(f"{base}/topic")
         assert {r["id"] for r in got.collect()} == {i for i in range(90) if i % 2 <= part}
         assert len(got.inputFiles()) == 3 * (part + 1)
+
+
+def marketplace(spark, sf):
+    """A few order lines with all that they refer to."""
+    made = {
+        "lineitem": spark.range(400).select(
+            (F.col("id") % 90).alias("l_orderkey"), (F.col("id") % 30).alias("l_partkey"), (F.col("id") % 20).alias("l_suppkey"),
+            (F.col("id") % 7 + 1).cast("int").alias("l_linenumber"), (F.col("id") % 50 + 1.0).alias("l_quantity"),
+            (F.col("id") * 7.5 + 1).alias("l_extendedprice"), (F.col("id") % 11 / 100).alias("l_discount"),
+            (F.col("id") % 9 / 100).alias("l_tax"), F.when(F.col("id") % 3 == 0, "R").otherwise("A").alias("l_returnflag"),
+            F.when(F.col("id") % 2 == 0, "O").otherwise("F").alias("l_linestatus")),
+        "orders": spark.range(90).select(F.col("id").alias("o_orderkey"), (F.col("id") % 6).alias("o_custkey"),
+                                         F.expr("timestamp'1995-01-01' + make_interval(0, 0, 0, int(id % 50))").alias("o_orderdate")),
+        "customer": spark.range(6).select(
+            F.col("id").alias("c_custkey"), F.format_string("n%d", "id").alias("c_name"), (F.col("id") % 25).cast("int").alias("c_nationkey"),
+            F.lit(1.5).alias("c_acctbal"), F.lit("BUILDING").alias("c_mktsegment")),
+        "supplier": spark.range(20).select(F.col("id").alias("s_suppkey"), (F.col("id") % 25).cast("int").alias("s_nationkey")),
+        "part": spark.range(30).select(F.col("id").alias("p_partkey"), F.lit("name").alias("p_name"), F.lit("PROMO").alias("p_type"),
+                                       (F.col("id") * 9.0).alias("p_retailprice")),
+    }
+    for name, rows in made.items():
+        rows.write.parquet(f"{sf}/{name}.parquet")
+
+
+def test_moves_by_transaction_and_by_user_do_not_lie_there_together(spark, tmp_path, rows, monkeypatch):
+    sf, names, real = str(tmp_path), [], catalogue.stored
+    marketplace(spark, sf)
+    monkeypatch.setattr(catalogue, "stored", lambda s, d, name: (names.append((name, d.columns)), real(s, d, name))[1])
+    facts = catalogue.facts(spark, sf)
+    assert not names and facts.count() > 100
+    got = catalogue.QUERIES["fact_orders"](spark, sf)
+    assert rows(catalogue.comparable(facts), *got.columns) == rows(got)
+    before = shuffle_files(spark)
+    enriched, _ = catalogue.enriched_payments(spark, sf)
+    plain = payments.enrich(catalogue.valid(spark, sf), hot=[])
+    assert [n for n, _ in names] == ["valid", "valid", "enriched"] and "amount" not in names[1][1]
+    for _ in range(50):
+        left = shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+    assert rows(enriched, *fraud.JUDGED) == rows(plain, *fraud.JUDGED)
+
+
+def test_a_sweep_stores_its_steps(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(timeline, "checkpointed", lambda d: (stored.append(d.columns), checkpointed(d))[1])
+    timeline.trailing(timed(spark).filter("u is not null"), "u", "t", 10, {"n": F.lit(1)}, {"d": "c"}, hot="all", chunk=7).count()
+    assert stored == [["u", "_at", "d"], ["u", "t", "d", "n"]]
