@@ -225,3 +225,13 @@ def test_a_sweep_stores_its_steps(spark, monkeypatch):
     monkeypatch.setattr(timeline, "checkpointed", lambda d: (stored.append(d.columns), checkpointed(d))[1])
     timeline.trailing(timed(spark).filter("u is not null"), "u", "t", 10, {"n": F.lit(1)}, {"d": "c"}, hot="all", chunk=7).count()
     assert stored == [["u", "_at", "d"], ["u", "t", "d", "n"]]
+
+
+def test_the_model_is_trained_with_all_its_trees(spark, tmp_path, monkeypatch):
+    sf, asked, real = str(tmp_path), [], ml.build_pipeline
+    marketplace(spark, sf)
+    monkeypatch.setattr(ml, "build_pipeline", lambda **options: (
+        asked.append(real(**options).getStages()[-1]), real(max_iter=2, max_depth=2))[1])
+    scored = catalogue.QUERIES["ml_train_score"](spark, sf)
+    assert [(trees.getMaxIter(), trees.getMaxDepth()) for trees in asked] == [(500, 6)]
+    assert scored.count() == catalogue.labelled(spark, sf).count()
