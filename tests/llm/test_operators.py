@@ -582,3 +582,26 @@ def test_pipeline_stages(spark, tmp_path):
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert {r["doc_id"] for r in out.collect()} == want
     assert all(r["decoded_sha256"] == hashlib.sha256(base[r["doc_id"]].encode()).hexdigest() for r in out.collect())
+
+
+def test_tiles_leave_out_what_lies_beyond_the_nearest_of_other_tiles():
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(60, 8))
+    vectors[30] = vectors[31]  # equal distances
+
+    def packed(ids):
+        own = vectors[ids]
+        scale = np.abs(own).max(axis=1) / 127
+        codes = np.rint(own / scale[:, None])
+        return (np.array(ids), own, codes.astype(np.float32), scale, np.sqrt((own ** 2).sum(axis=1)),
+                np.sqrt(((own - codes * scale[:, None]) ** 2).sum(axis=1)))
+
+    queries, others = packed(list(range(10))), packed(list(range(5, 60)))
+    plain = {q: (d.tolist(), o.tolist()) for q, d, o in neighbours.tile(queries, others, 4)}
+    for q in range(10):
+        apart = sorted((np.sqrt(sum((x - y) ** 2 for x, y in zip(vectors[q], vectors[o], strict=True))), o) for o in range(5, 60) if o != q)[:4]
+        assert plain[q][1] == [o for _, o in apart] and np.allclose(plain[q][0], [d for d, _ in apart])
+    reached = np.array([plain[q][0][1] for q in range(10)])
+    near = {q: o.tolist() for q, _, o in neighbours.tile(queries, others, 4, reached)}
+    assert all(near[q] == plain[q][1][:len(near[q])] and len(near[q]) >= 2 for q in range(10))
+    assert sum(map(len, near.values())) < 40
